@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import token_archive
+from . import packing, token_archive, warc
 
 
 def queries() -> dict:
-    return {"op1_token_archive": token_archive.query}
+    return {"op1_token_archive": token_archive.query, "op2_warc": warc.query, "op5_packing": packing.query}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": warc.ORACLE}
