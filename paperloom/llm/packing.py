@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import storage
-from .tokenization import encoder, with_end
+from .tokenization import encoder, slices, with_end
 
 DIMENSIONS = 4
 BITS = 15
@@ -82,7 +82,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, table = encoder(tokenizer_path), projection()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             ids, offsets = with_end(*words.encode(batch["text"]), end_id)
             curve = hilbert_key(document_vectors(ids, offsets, table))
             raw, ends = ids.astype("<u4").tobytes(), (offsets * 4).tolist()

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, simhash, token_archive, warc
+from . import decontamination, line_dedup, packing, simhash, token_archive, toxicity, warc
 
 
 def queries() -> dict:
-    return {"op1_token_archive": token_archive.query, "op2_warc": warc.query, "op3_line_dedup": line_dedup.query, "op5_packing": packing.query, "op8_simhash": simhash.query}
+    return {"op1_token_archive": token_archive.query, "op2_warc": warc.query, "op3_line_dedup": line_dedup.query, "op5_packing": packing.query, "op6_toxicity": toxicity.query, "op7_decontamination": decontamination.query, "op8_simhash": simhash.query}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE, "op3_line_dedup": line_dedup.ORACLE}
+    return {"op2_warc": warc.ORACLE, "op3_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE}

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import storage
-from .tokenization import encoder, with_end
+from .tokenization import encoder, slices, with_end
 
 MAGIC = b"PLTOKIX1"
 #: Documents whose ids train the shared dictionary, those of the smallest hash; it bears on size alone, never on ids.
@@ -106,7 +106,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> Archi
                 f.write(_index_bytes(digest, width, doc_ids, offsets, counts))
             return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "file": name, "n_docs": len(doc_ids), "n_tokens": sum(counts), "n_bytes": offsets[-1]}])
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             flat, ends = with_end(*words.encode(batch["text"]), end_id)
             data, ends = flat.astype(kind).tobytes(), (ends * width).tolist()
             for doc_id, a, b in zip(batch["doc_id"].to_pylist(), ends, ends[1:]):

@@ -9,19 +9,30 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words remembered by one Python worker; it only saves work, and is emptied when full.
-REMEMBERED_WORDS = 700_000
-#: Texts that are split into words at once, in bytes.
-SLICE_BYTES = 8 << 20
+REMEMBERED_WORDS = 500_000
+#: Bytes of text that are worked on at once; a longer text is one slice.
+SLICE_BYTES = 4 << 20
 
 _loaded: dict[str, WordEncoder] = {}
 
 
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts have about ``most`` bytes."""
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+    a = 0
+    while a < len(batch):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + most, "right")) - 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
