@@ -77,18 +77,24 @@ def hilbert_key(vectors: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+def id_width(tokenizer_path: str, end_id: int) -> int:
+    """Bytes that hold any id."""
+    return 2 if max(encoder(tokenizer_path).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """(doc_id, curve, ids): each document's ids and its key on the curve."""
+    """(doc_id, curve, ids): each document's ids, of ``id_width`` bytes, and its key on the curve."""
+    width = id_width(tokenizer_path, end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, table = encoder(tokenizer_path), projection()
         for batch in (part for whole in batches for part in slices(whole)):
             ids, offsets = with_end(*words.encode(batch["text"]), end_id)
             curve = hilbert_key(document_vectors(ids, offsets, table))
-            raw, ends = ids.astype("<u4").tobytes(), (offsets * 4).tolist()
+            raw, ends = ids.astype(f"<u{width}").tobytes(), (offsets * width).tolist()
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(curve, pa.int64()), pa.array([raw[a:b] for a, b in zip(ends, ends[1:])], pa.binary())], names=["doc_id", "curve", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), storage.text_or_empty().alias("text")).mapInArrow(encode, "doc_id long, curve long, ids binary")
+    return storage.in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), storage.text_or_empty().alias("text")), encode, "doc_id long, curve long, ids binary")
 
 
 def powers(n: int) -> list[int]:
@@ -113,12 +119,14 @@ def _cut_again(pieces: list[dict], filled: int, sequence: int) -> list[dict]:
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 2048) -> DataFrame:
     """Pieces of ``docs(doc_id, text)``: where each run of a document's ids lies, and the ids (unsigned 32-bit)."""
     rows = storage.staged(tokenized(docs, tokenizer_path, end_id), "packing-tokens")
+    width = id_width(tokenizer_path, end_id)
     schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in (c.split()[0] for c in PIECES.split(", "))])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence, filled, opened, full = TaskContext.get().partitionId() << 40, 0, [], []
         for batch in batches:
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
+                ids = np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()
                 start, total = 0, len(ids) // 4
                 while start < total:
                     take = min(total - start, length - filled)
@@ -134,7 +142,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 20
         if full:
             yield pa.RecordBatch.from_pylist(full, schema)
 
-    return rows.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id").select("doc_id", "ids").mapInArrow(fill, PIECES)
+    return storage.in_arrow(rows.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id").select("doc_id", "ids"), fill, PIECES)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = [_signed(fingerprint(shingle_hashes(t.as_py(), shingle))) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, fp long")
+    return storage.in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), compute, "doc_id long, fp long")
 
 
 def _chain_viable(difference: Column, radius: int) -> Column:

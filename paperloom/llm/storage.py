@@ -42,6 +42,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one batch of rows between the JVM and Python; long texts make batches of fewer rows.
+BATCH_BYTES = 8 << 20
+
+
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches that are bounded in bytes, where the session sets no bound of its own."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

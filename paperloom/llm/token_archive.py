@@ -126,7 +126,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> Archi
             yield finish()
 
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    manifest = storage.staged(ordered.mapInArrow(write_shards, MANIFEST), "token-manifest")
+    manifest = storage.staged(storage.in_arrow(ordered, write_shards, MANIFEST), "token-manifest")
     return Archive(path, digest, width, manifest)
 
 
@@ -166,7 +166,7 @@ def read(archive: Archive) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(doc_ids[a:b], pa.int64()), pa.array(starts[a:b], pa.int64()), pa.array(counts[a:b], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
                         a = b
 
-    return shards.repartition(int(archive.manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(read_shards, "doc_id long, start long, n_tokens long, ids binary")
+    return storage.in_arrow(shards.repartition(int(archive.manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))), read_shards, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def read_document(archive: Archive, doc_id: int) -> list[np.ndarray]:

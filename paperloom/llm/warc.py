@@ -125,7 +125,7 @@ def write(pages: DataFrame, path: str) -> DataFrame:
         if out is not None:
             out.close()
 
-    return storage.staged(classified(pages).mapInArrow(write_files, INDEX), "warc-index")
+    return storage.staged(storage.in_arrow(classified(pages), write_files, INDEX), "warc-index")
 
 
 def ranges(index: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def read(index: DataFrame, path: str) -> DataFrame:
                     found.append(parse_record(zlib.decompress(data[a : a + x["length"]], 31)) | {"url": x["url"]})
                 yield pa.RecordBatch.from_pylist(found, schema)
 
-    return ranges(index).select("file", "first", "last", "records").mapInArrow(read_ranges, RECORDS)
+    return storage.in_arrow(ranges(index).select("file", "first", "last", "records"), read_ranges, RECORDS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
