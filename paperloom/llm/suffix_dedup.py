@@ -9,7 +9,8 @@ Earlier means in a document of smaller ``doc_id``, or in the same document at a
 2. Equal contexts. Anchors meet by hash. Of those with equal contexts (128 bits), the earliest stays and the others
    go with all their strings; this is done per block first, so that a passage in a third of all documents arrives
    once per block.
-3. Shards. Where contexts under one anchor differ, some of their strings may still agree. The earliest context of
+3. Shards. Where contexts under one anchor differ, some of their strings may still agree; the contexts must then agree
+   on the 32 bytes before the anchor or on those after it, else they are left out. The earliest context of
    each kind is read and sent to a shard, all those under an anchor to the same one; a shard holds several anchors, and
    an anchor with over ``GROUP`` contexts is dealt out over several shards. A shard's bytes get a suffix array by
    Larsson and Sadakane's refinement (groups of equal prefixes are split by the rank of what follows, doubling the
@@ -91,8 +92,12 @@ def _running(x: np.ndarray, best, n: int) -> np.ndarray:
     return out
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, context hash, text number, position) of the anchors of some texts."""
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(hash, context hash, sides, text number, position) of the anchors of some texts.
+
+    A string of 100 bytes around an anchor of 32 holds 32 bytes more on one side at least. ``sides`` are hashes of the
+    anchor with the 32 bytes before it (high half) and after it (low half), of 32 bits each.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes + PAD) - sizes  # a pad before each text, and one after all
     data = np.zeros(int((sizes + PAD).sum()) + PAD + 64, np.uint8)
@@ -112,7 +117,8 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     pos = at - starts[which]
     left, right = np.minimum(pos, BEFORE), np.minimum(sizes[which] - pos, LENGTH)
     context = _mix(_mix(_mix(wide[at - BEFORE] * _A[0] + wide[at - 4]) * _A[1] + wide[at + 36]) * _A[2] + (left * 256 + right).astype(np.uint64))
-    return short[at], context, which, pos
+    sides = (wide[at - GRAM] & ~np.uint64(0xFFFFFFFF)) | (wide[at] >> np.uint64(32))
+    return short[at], context, sides, which, pos
 
 
 def _pack(**columns: np.ndarray) -> dict:
@@ -166,25 +172,25 @@ def scan(path: str, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator
         writer.write_batch(kept)
         parts, base = [], 0
         for piece in slices(kept, "text", PIECE_BYTES):
-            h, c, row, pos = anchors(piece["text"].to_pylist())
-            parts.append((h, c, row + base, pos))
+            h, c, sides, row, pos = anchors(piece["text"].to_pylist())
+            parts.append((h, c, sides, row + base, pos))
             base += len(piece)
-        h, c, row, pos = (np.concatenate(x) for x in zip(*parts))
+        h, c, sides, row, pos = (np.concatenate(x) for x in zip(*parts))
         ids = _ids(batch["doc_id"])
         order = np.lexsort((pos, row, ids[row], c, h))
-        h, c, row, pos = h[order], c[order], row[order], pos[order]
+        h, c, sides, row, pos = h[order], c[order], sides[order], row[order], pos[order]
         again = np.zeros(len(h), bool)
         again[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
         out = [("block", hash((file, block)) % buckets, file, block, [])]
         if again.any():
             out.append(("spans", hash((file, block)) % buckets, file, block, [_spans(row[again], pos[again] - BEFORE, pos[again] + LENGTH)]))
-        h, c, row, pos = h[~again], c[~again], row[~again], pos[~again]
+        h, c, sides, row, pos = h[~again], c[~again], sides[~again], row[~again], pos[~again]
         bucket = (h % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         for own in np.split(order, cuts) if len(order) else []:
             docs, which = np.unique(row[own], return_inverse=True)
-            out.append(("anchors", int(bucket[own[0]]), file, block, [h[own].tobytes(), c[own].tobytes(), which.astype("<u4").tobytes(), pos[own].astype("<u4").tobytes(), docs.astype("<u4").tobytes(), ids[docs].tobytes()]))
+            out.append(("anchors", int(bucket[own[0]]), file, block, [h[own].tobytes(), c[own].tobytes(), sides[own].tobytes(), which.astype("<u4").tobytes(), pos[own].astype("<u4").tobytes(), docs.astype("<u4").tobytes(), ids[docs].tobytes()]))
         for a in range(0, len(out), 256):
             yield _messages(out[a : a + 256])
         block += 1
@@ -215,6 +221,16 @@ def _grouped(batches: Iterator[pa.RecordBatch], key) -> Iterator[list[dict]]:
         yield own
 
 
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs (a, b) come more than once."""
+    order = np.lexsort((b, a))
+    same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
+    out = np.zeros(len(a), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bucket by bucket: spans of anchors whose context came earlier; contexts to compare under anchors with several."""
     for rows in _grouped(batches, lambda r: r["bucket"]):
@@ -224,21 +240,21 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for r in rows if r["kind"] == "anchors"]
         if not rows:
             continue
-        cols: list[list] = [[] for _ in range(7)]
+        cols: list[list] = [[] for _ in range(8)]
         for r in rows:
-            h, c, which, pos, docs, ids = (np.frombuffer(x, t) for x, t in zip(r["data"], ("<u8", "<u8", "<u4", "<u4", "<u4", "<i8")))
-            for col, x in zip(cols, (h, c, ids[which], np.full(len(h), r["file"], np.int64), np.full(len(h), r["block"], np.int64), docs[which].astype(np.int64), pos.astype(np.int64))):
+            h, c, sides, which, pos, docs, ids = (np.frombuffer(x, t) for x, t in zip(r["data"], ("<u8", "<u8", "<u8", "<u4", "<u4", "<u4", "<i8")))
+            for col, x in zip(cols, (h, c, sides, ids[which], np.full(len(h), r["file"], np.int64), np.full(len(h), r["block"], np.int64), docs[which].astype(np.int64), pos.astype(np.int64))):
                 col.append(x)
         del rows
-        h, c, ids, file, block, row, pos = (np.concatenate(x) for x in cols)
-        order = np.argsort(h, kind="stable")
+        h, c, sides, ids, file, block, row, pos = (np.concatenate(x) for x in cols)
+        order = np.argsort(h)
         same = h[order][1:] == h[order][:-1]
         twice = np.zeros(len(h), bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
         at = np.flatnonzero(twice)
         at = at[np.lexsort((pos[at], row[at], block[at], file[at], ids[at], c[at], h[at]))]
-        h, c, ids, file, block, row, pos = (x[at] for x in (h, c, ids, file, block, row, pos))
+        h, c, sides, ids, file, block, row, pos = (x[at] for x in (h, c, sides, ids, file, block, row, pos))
         again = np.zeros(len(h), bool)
         again[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
         out = []
@@ -247,9 +263,10 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = gone[own]
             out.append(("spans", 0, int(file[own[0]]), int(block[own[0]]), [_spans(row[own], pos[own] - BEFORE, pos[own] + LENGTH)]))
         first = np.flatnonzero(~again)
+        several = _shared(h[first], sides[first] >> np.uint64(32)) | _shared(h[first], sides[first] & np.uint64(0xFFFFFFFF))
+        first = first[several]
         _, number, size = np.unique(h[first], return_inverse=True, return_counts=True)
-        several = size[number] > 1
-        first, size = first[several], size[number][several]
+        size = size[number]
         for own in _by_block(file[first], block[first]):
             i = first[own]
             out.append(("wanted", 0, int(file[i[0]]), int(block[i[0]]), [h[i].tobytes(), size[own].astype("<u4").tobytes(), ids[i].tobytes(), row[i].astype("<u4").tobytes(), pos[i].astype("<u4").tobytes()]))
@@ -313,13 +330,13 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.
     A position's group is the place of the first suffix that has the same ``depth`` bytes. ``depth`` is 8 at least.
     """
     n, key = len(data), words_at(data)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     begins = np.ones(n, bool)
     begins[1:] = key[order][1:] != key[order][:-1]
     for i in range(max(0, n - 7), n)[::-1]:  # a suffix that ends within its word comes before real zeros
         same = np.flatnonzero(key[order] == key[i])
         own = order[same]
-        order[same] = own[np.lexsort((own, np.minimum(n - own, 8)))]
+        order[same] = own[np.argsort(np.minimum(n - own, 8), kind="stable")]
         left = np.minimum(n - order[same], 8)
         begins[same[1:]] = left[1:] != left[:-1]
     group = np.empty(n, np.int64)
@@ -333,11 +350,12 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.
             break
         own = order[at]
         after = np.where(own + step < n, group[np.minimum(own + step, n - 1)], -1)
-        again = np.lexsort((own, after, group[own]))
-        own, after = own[again], after[again]
+        both = group[own] * (n + 1) + after + 1
+        again = np.argsort(both)
+        own, both = own[again], both[again]
         order[at] = own
         head = np.ones(len(own), bool)
-        head[1:] = (group[own][1:] != group[own][:-1]) | (after[1:] != after[:-1])
+        head[1:] = both[1:] != both[:-1]
         begins[at] = head
         group[own] = np.maximum.accumulate(np.where(head, at, 0))
         length += step
@@ -403,13 +421,19 @@ def _shard(rows: list[pa.RecordBatch]) -> Iterator[tuple]:
     run = np.cumsum(np.concatenate([[1], (shared[order[1:]] < LENGTH).astype(np.int64)]))
     at = order[whole[order]]
     run = run[whole[order]]
-    by = np.lexsort((start[of[at]] + offset[at], row[of[at]], block[of[at]], file[of[at]], ids[of[at]], run))
-    at, run = at[by], run[by]
-    same_place = lambda a, b: (file[of[a]] == file[of[b]]) & (block[of[a]] == block[of[b]]) & (row[of[a]] == row[of[b]]) & (start[of[a]] + offset[a] == start[of[b]] + offset[b])
+    # a string's place: its document's rank in the shard, then its start
+    ranked = np.lexsort((row, block, file, ids))
+    changes = np.ones(len(ranked), np.int64)
+    changes[1:] = (ids[ranked][1:] != ids[ranked][:-1]) | (file[ranked][1:] != file[ranked][:-1]) | (block[ranked][1:] != block[ranked][:-1]) | (row[ranked][1:] != row[ranked][:-1])
+    rank = np.empty(len(ranked), np.int64)
+    rank[ranked] = np.cumsum(changes)
+    place = rank[of[at]] * (1 << 32) + start[of[at]] + offset[at]
+    by = np.lexsort((place, run))
+    at, run, place = at[by], run[by], place[by]
     heads = np.ones(len(at), bool)
     heads[1:] = run[1:] != run[:-1]
     first = np.maximum.accumulate(np.where(heads, np.arange(len(at)), 0))
-    gone = ~same_place(at, at[first])
+    gone = place != place[first]
     lost = at[gone]
     for own in _by_block(file[of[lost]], block[of[lost]]):
         p = lost[own]
