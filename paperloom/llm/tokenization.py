@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words remembered by one Python worker; it only saves work, and is emptied when full.
-REMEMBERED_WORDS = 500_000
+#: Words remembered by one Python worker; it only saves work. When it is full, words met in one slice only go.
+REMEMBERED_WORDS = 700_000
 #: Bytes of text that are worked on at once; a longer text is one slice.
 SLICE_BYTES = 4 << 20
 
@@ -85,7 +85,13 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.by_word = _drops_white_space(json.load(f))
+            spec = json.load(f)
+        self.by_word = _drops_white_space(spec)
+        suffix, self.ends_word = spec["model"].get("end_of_word_suffix"), None
+        if self.by_word and suffix:  # which ids end a word
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -93,11 +99,43 @@ class WordEncoder:
         self.store = np.zeros(1 << 16, np.uint32)
         self.first = np.zeros(1 << 12, np.int64)
         self.count = np.zeros(1 << 12, np.int64)
+        self.met = np.zeros(1 << 12, np.int64)
         self.used = 0
 
+    def _shrink(self) -> None:
+        """Forgets the words met in one slice only, or all if most were met again."""
+        words = np.array(list(self.place), dtype=object)
+        keep = np.flatnonzero(self.met[: len(words)] > 1)
+        if len(keep) > REMEMBERED_WORDS // 2:
+            return self._forget()
+        lengths = self.count[keep]
+        ends = np.cumsum(lengths)
+        first = ends - lengths
+        at = np.repeat(self.first[keep] - first, lengths) + np.arange(int(lengths.sum()))
+        self.store[: len(at)] = self.store[at]
+        self.used = len(at)
+        self.first[: len(keep)], self.count[: len(keep)] = first, lengths
+        self.met[:] = 0
+        self.place = dict(zip(words[keep].tolist(), range(len(keep))))
+
+    def _encode_letters(self, words: list[str]) -> list | None:
+        """The ids of words of letters alone, encoded as one text; None if they can't be told apart in it."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return None
+        bounds, ids = [0, *ends.tolist()], ids.tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def _learn(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        ids = [e.ids for e in encoded]
+        letters = [w for w in words if w.isalpha()] if self.ends_word is not None else []
+        ids: list = []
+        for a in range(0, len(letters), 1000):
+            own = letters[a : a + 1000]
+            ids += self._encode_letters(own) or [e.ids for e in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+        others = [w for w in words if not w.isalpha()] if letters else words
+        ids += [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        words = letters + others
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
         known, total = len(self.place), len(self.place) + len(words)
@@ -106,6 +144,7 @@ class WordEncoder:
         while total > len(self.first):
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
         self.store[self.used : self.used + len(flat)] = flat
         self.first[known:total] = self.used + np.cumsum(lengths) - lengths
         self.count[known:total] = lengths
@@ -139,12 +178,14 @@ class WordEncoder:
         bounds -= bounds[0]
         words = coded.dictionary.to_pylist()
         if len(self.place) + len(words) > REMEMBERED_WORDS:
-            self._forget()
-        place = self.place
-        missing = [w for w in words if w not in place]
-        if missing:
-            self._learn(missing)
-        of_word = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+            self._shrink()
+        known = self.place.get
+        of_word = np.fromiter([known(w, -1) for w in words], np.int64, len(words))
+        new = np.flatnonzero(of_word < 0)
+        if len(new):
+            self._learn([words[i] for i in new])
+            of_word[new] = [self.place[words[i]] for i in new]
+        self.met[of_word] += 1
         which = of_word[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
         lengths = self.count[which]
         ends = np.cumsum(lengths)
