@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, packing, pii, simhash, suffix_dedup, token_archive, toxicity, warc
+from . import decontamination, line_dedup, media, packing, pii, simhash, suffix_dedup, token_archive, toxicity, warc
 
 
 def queries() -> dict:
-    return {"op1_token_archive": token_archive.query, "op2_warc": warc.query, "op3_line_dedup": line_dedup.query, "op4_suffix_dedup": suffix_dedup.query, "op5_packing": packing.query, "op6_toxicity": toxicity.query, "op7_decontamination": decontamination.query, "op8_simhash": simhash.query, "op10_pii": pii.query}
+    return {"op1_token_archive": token_archive.query, "op2_warc": warc.query, "op3_line_dedup": line_dedup.query, "op4_suffix_dedup": suffix_dedup.query, "op5_packing": packing.query, "op6_toxicity": toxicity.query, "op7_decontamination": decontamination.query, "op8_simhash": simhash.query, "op9_media": media.query, "op10_pii": pii.query}
 
 
 def oracle_sql() -> dict[str, str]:
