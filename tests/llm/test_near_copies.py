@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+
+from paperloom.llm import near_copies, simhash, storage
+
+
+def shingles(text):
+    return set(simhash.shingle_hashes(text, 5).tolist())
+
+
+def brute(rows, least=0.8):
+    """Components of all pairs of the rows' texts; the smallest key of each."""
+    sets = [shingles(t) for _, t in rows]
+    words = [" ".join(x.decode() for x in (t or "").encode().lower().split()) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            union = len(sets[a] | sets[b])
+            if words[a] == words[b] or (union and both / union >= least):
+                x, y = sorted((top(a), top(b)))
+                parent[y] = x
+    return [top(i) for i in range(len(rows))]
+
+
+def test_matches_all_pairs(spark):
+    docs = storage.documents(spark, "/root/testdata/sf0.01")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    want = sorted({rows[i][0] for i in brute(rows)})
+    assert sorted(r.doc_id for r in near_copies.distinct_documents(docs).collect()) == want
+
+
+def test_edited_copies(spark, frame):
+    rng, rows = random.Random(2), []
+    vocabulary = [f"w{i}" for i in range(2000)]
+    for family in range(40):
+        words = rng.choices(vocabulary, k=rng.choice([30, 80, 300, 1500]))
+        for _ in range(6):
+            own = list(words)
+            for _ in range(rng.randint(0, max(1, len(words) // 100))):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(own)))
+    got = sorted(r.doc_id for r in near_copies.distinct_documents(frame(rows, "doc_id long, text string")).collect())
+    want = sorted({rows[i][0] for i in brute(rows)})
+    assert got == want
+
+
+def test_odd_rows(spark, frame, odd_documents):
+    rows = [(5, "A b"), (5, "a  B "), (5, "other text here"), (5, "other text here"), (None, "a b"), (None, "only without id"), (7, None), (8, " "), (9, "")]
+    docs = frame(rows, "doc_id long, text string").selectExpr("*", "1 AS row", "2 AS doc", "'x' AS number")
+    out = near_copies.distinct_documents(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, (r.text or "").lower().split()) for r in out.collect()), key=str)
+    assert got == sorted([(5, ["a", "b"]), (5, ["other", "text", "here"]), (None, ["only", "without", "id"]), (7, [])], key=str)
+    assert near_copies.distinct_documents(odd_documents).count() == len({tuple((r.text or "").encode().lower().split()) for r in odd_documents.collect()})
+    assert near_copies.distinct_documents(frame([], "doc_id long, text string")).count() == 0
+
+
+def test_bags_of_like_sets_agree():
+    rng = np.random.default_rng(4)
+    missed = 0
+    for _ in range(300):
+        n = int(rng.integers(40, 400))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        change = max(1, n // 9)
+        b = np.concatenate([a[change:], rng.integers(0, 1 << 63, change, dtype=np.uint64)])
+        x, y = (set(zip(*(v.tolist() for v in near_copies.bag_fingerprints(np.unique(s))))) for s in (a, b))
+        missed += not x & y
+    assert missed <= 1
