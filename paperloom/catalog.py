@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from .plans import formats
+from .plans import queries as relational
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang", "source").agg(F.count("*").alias("n_documents"))
+    return relational.unit_coverage(spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return {**relational.QUERIES, **formats.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(relational.SQL)

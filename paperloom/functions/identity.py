@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import let
+
 #: Fixed value: the base32 alphabet of RFC 4648 in lower case.
 BASE32 = "abcdefghijklmnopqrstuvwxyz234567"
 ID_LENGTH = 26
@@ -30,13 +32,20 @@ def content_hash(json: Column) -> Column:
 
 
 def base32_token(digest: Column, length: int = ID_LENGTH) -> Column:
-    """First characters of the base32 form of a hex digest: five bits out of every two neighbouring hex digits."""
-    letters = []
-    for i in range(length):
-        digit, shift = 5 * i // 4, 3 - 5 * i % 4
-        pair = F.conv(F.substring(digest, digit + 1, 2), 16, 10).cast("int")
-        letters.append(F.substr(F.lit(BASE32), F.shiftright(pair, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)))
-    return F.concat(*letters)
+    """First characters of the base32 form of a hex digest: five bits out of every two neighbouring hex digits.
+
+    The digest is bound to a lambda's variable, so that it is computed once and not for every character.
+    """
+
+    def spelled(hexes: Column) -> Column:
+        letters = []
+        for i in range(length):
+            digit, shift = 5 * i // 4, 3 - 5 * i % 4
+            pair = F.conv(F.substring(hexes, digit + 1, 2), 16, 10).cast("int")
+            letters.append(F.substr(F.lit(BASE32), F.shiftright(pair, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)))
+        return F.concat(*letters)
+
+    return let(digest, spelled)
 
 
 def stable_id(prefix: str, json: Column, length: int = ID_LENGTH) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import let
+
 # Fixed values -------------------------------------------------------------------------------------------------------
 #: Metadata names that hold personal data.
 PERSONAL_METADATA = ["creator", "lastmodifiedby", "company", "manager"]
@@ -28,10 +30,18 @@ def property_name(name: Column) -> Column:
     x = F.regexp_replace(F.lower(x), "[^a-z0-9_.:-]+", "_")
     x = F.regexp_replace(x, "_+", "_")
     x = F.btrim(x, F.lit("_.:-"))
-    x = F.when(x.rlike("^[a-z]"), x).otherwise(F.concat(F.lit("property_"), F.when(x == "", "unknown").otherwise(x)))
-    x = F.when(F.length(x) < 2, F.concat(x, F.lit("_value"))).otherwise(x)
-    cut = F.concat(F.rtrim(F.substring(x, 1, 188), F.lit("_.:-")), F.lit("_"), F.substring(F.sha2(F.encode(name, "UTF-8"), 256), 1, 12))
-    x = F.when(F.length(x) > 201, cut).otherwise(x)
+
+    def led(x: Column) -> Column:
+        return F.when(x.rlike("^[a-z]"), x).otherwise(F.concat(F.lit("property_"), F.when(x == "", "unknown").otherwise(x)))
+
+    def filled(x: Column) -> Column:
+        return F.when(F.length(x) < 2, F.concat(x, F.lit("_value"))).otherwise(x)
+
+    def cut(x: Column) -> Column:
+        short = F.concat(F.rtrim(F.substring(x, 1, 188), F.lit("_.:-")), F.lit("_"), F.substring(F.sha2(F.encode(name, "UTF-8"), 256), 1, 12))
+        return F.when(F.length(x) > 201, short).otherwise(x)
+
+    x = let(let(let(x, led), filled), cut)
     return F.when(name.rlike(CANONICAL_NAME), name).otherwise(x)
 
 
