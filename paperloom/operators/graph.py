@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import kept
+
 ROUNDS = 20
 
 
@@ -18,12 +20,12 @@ def ancestors(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     Every round joins all known stretches with each other: after k rounds all ancestors within 2 ** k are known.
     """
     known = edges.filter("node IS NOT NULL AND parent IS NOT NULL").select("node", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("depth")).groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
-    known = known.checkpoint() if _checkpoints(known) else known.cache()
+    known = kept(known, "ancestors")
     n = known.count()
     for _ in range(rounds):
         further = known.alias("a").join(known.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor", (F.col("a.depth") + F.col("b.depth")).alias("depth"))
         grown = known.unionByName(further).groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
-        grown = grown.checkpoint() if _checkpoints(grown) else grown.cache()
+        grown = kept(grown, "ancestors")
         m = grown.count()
         known = grown
         if m == n:
@@ -32,10 +34,6 @@ def ancestors(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return known
 
 
-def _checkpoints(df: DataFrame) -> bool:
-    return df.sparkSession.sparkContext.getCheckpointDir() is not None
-
-
 def inherited(values: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, name, value): every property that a node has or inherits; the nearest one wins.
 

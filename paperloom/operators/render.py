@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import textwrap
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +49,33 @@ def paginate(lines: DataFrame, surface=PAGE) -> DataFrame:
     return rows.select("document_id", "unit_id", F.floor(at / capacity).alias("page"), (at % capacity).cast("long").alias("slot"), "segment")
 
 
+def wrap_words(text: str, size: int) -> list[str]:
+    """A text's visual lines: tabs as four columns, broken at spaces where that is possible, placeholders for empty lines."""
+    out = []
+    for line in text.expandtabs(4).splitlines() or [text]:
+        out += textwrap.wrap(line, size, replace_whitespace=False, drop_whitespace=False, break_on_hyphens=False) or [EMPTY_LINE]
+    return out
+
+
+def paginate_words(lines: DataFrame, surface=PAGE) -> DataFrame:
+    """As ``paginate``, with lines broken between words."""
+    most, capacity = line_characters(surface), page_lines(surface)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cuts = pa.array([wrap_words(t or "", most) for t in batch["text"].to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch["document_id"], batch["ordinal"], batch["unit_id"], cuts], names=["document_id", "ordinal", "unit_id", "cuts"])
+
+    kinds = dict(lines.dtypes)
+    schema = f"document_id {kinds['document_id']}, ordinal {kinds['ordinal']}, unit_id {kinds['unit_id']}, cuts array<string>"
+    rows = lines.select("document_id", "ordinal", "unit_id", "text").mapInArrow(cut, schema)
+    before = Window.partitionBy("document_id").orderBy("ordinal", "unit_id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("first", F.coalesce(F.sum(F.size("cuts")).over(before), F.lit(0)).cast("long"))
+    out = placed.select("document_id", "unit_id", "first", F.posexplode("cuts").alias("pos", "segment"))
+    at = F.col("first") + F.col("pos")
+    return out.select("document_id", "unit_id", F.floor(at / capacity).alias("page"), (at % capacity).cast("long").alias("slot"), "segment")
+
+
 def boxes(segments: DataFrame, surface=PAGE) -> DataFrame:
     """Adds x, y, width and height of every visual line on its surface."""
     width, _, font, line, margin, _ = surface

@@ -229,4 +229,17 @@ def probed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-QUERIES |= {"container_members": container_members, "container_relationships": container_relationships, "probed_files": probed_files}
+def ingested_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the built files: each document's format, number of units and status."""
+    from . import ingest
+
+    files = None
+    for make in FILES.values():
+        files = make(spark, sf_dir) if files is None else files.unionByName(make(spark, sf_dir))
+    t = ingest.plan(files)
+    n = t["ir_units"].groupBy("document_id").agg(F.count("*").alias("n_units"))
+    names = t["documents"].groupBy("document_id").agg(F.min("format_name").alias("format_name"))
+    return t["statuses"].join(names, "document_id", "left").join(n, "document_id", "left")
+
+
+QUERIES |= {"ingested_status": ingested_status, "container_members": container_members, "container_relationships": container_relationships, "probed_files": probed_files}
