@@ -17,7 +17,7 @@ from .. import storage
 from ..functions.identity import canonical_json, stable_id
 from ..functions.ranks import STATUS, gravest
 from ..operators import ir, parts, quality, render, security
-from ..sources import acquire, containers, native, probe
+from ..sources import access, acquire, containers, native, probe
 from ..sources.ids import content_hash
 
 
@@ -27,6 +27,7 @@ class Policy:
     render: str = "required"
     major_loss: str = "review"
     minor_loss: str = "ok"
+    reject_encrypted: bool = False
 
 
 Tables = dict[str, DataFrame]
@@ -63,9 +64,14 @@ def decisions(t: Tables, policy: Policy) -> DataFrame:
     return security.decisions(totals, t["security_findings"], F.col("restricted")).withColumnRenamed("package_id", "document_id")
 
 
+def access_states(t: Tables, policy: Policy) -> DataFrame:
+    found = access.inspect(t["artifacts"], t["documents"])
+    return access.states(found, t["decisions"], t["artifacts"].select("document_id").limit(0), policy.reject_encrypted)
+
+
 def native_units(t: Tables, policy: Policy) -> DataFrame:
-    """Units of the documents that no finding blocks; a document held by several artifacts is decoded once."""
-    allowed = t["decisions"].filter("decision <> 'block'").select("document_id")
+    """Units of the documents that are open; a document held by several artifacts is decoded once."""
+    allowed = t["access_states"].filter("access_state LIKE 'clear%'").select("document_id")
     once = t["artifacts"].join(allowed, "document_id", "left_semi").groupBy("document_id").agg(F.min_by("artifact_id", "artifact_id").alias("artifact_id"))
     chosen = t["artifacts"].join(once, ["document_id", "artifact_id"], "left_semi")
     return native.decode(chosen, t["documents"])
@@ -128,10 +134,12 @@ def scores(t: Tables, policy: Policy) -> DataFrame:
 def statuses(t: Tables, policy: Policy) -> DataFrame:
     """Each document's gravest status of security, decoding and losses."""
     secure = t["decisions"].select("document_id", "status")
+    opened = t["access_states"].select("document_id", "status")
     lost = quality.document_status(t["losses"], ["document_id"], policy.major_loss, policy.minor_loss)
-    refused = native.failures(t["artifacts"].join(secure.filter("status <> 'rejected'").select("document_id"), "document_id", "left_semi"), t["native_units"])
+    clear = t["access_states"].filter("access_state LIKE 'clear%'").select("document_id")
+    refused = native.failures(t["artifacts"].join(clear, "document_id", "left_semi"), t["native_units"])
     failed = t["artifacts"].join(refused, "artifact_id", "left_semi").select("document_id", F.lit("review").alias("status"))
-    return secure.unionByName(lost).unionByName(failed).groupBy("document_id").agg(gravest(F.col("status"), STATUS).alias("status"))
+    return secure.unionByName(opened).unionByName(lost).unionByName(failed).groupBy("document_id").agg(gravest(F.col("status"), STATUS).alias("status"))
 
 
 def package(t: Tables, policy: Policy) -> DataFrame:
@@ -139,13 +147,13 @@ def package(t: Tables, policy: Policy) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[Tables, Policy], DataFrame]]] = [
-    ("documents", documents), ("members", members), ("part_relationships", part_relationships), ("security_findings", security_findings), ("decisions", decisions), ("native_units", native_units), ("ir_units", ir_units),
+    ("documents", documents), ("members", members), ("part_relationships", part_relationships), ("security_findings", security_findings), ("decisions", decisions), ("access_states", access_states), ("native_units", native_units), ("ir_units", ir_units),
     ("rendered", rendered), ("edges", edges), ("coverage", coverage), ("losses", losses), ("scores", scores), ("statuses", statuses), ("package", package),
 ]
 
 
 #: Stages that several later ones read: kept as tables, so that no plan repeats what comes before.
-SHARED = ("artifacts", "documents", "members", "decisions", "native_units", "ir_units", "rendered", "edges", "coverage")
+SHARED = ("artifacts", "documents", "members", "decisions", "access_states", "native_units", "ir_units", "rendered", "edges", "coverage")
 
 
 def plan(artifacts: DataFrame, policy: Policy = Policy(), until: str | None = None) -> Tables:

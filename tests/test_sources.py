@@ -96,6 +96,21 @@ def test_probe(bundle):
     assert names["l.pdf"].extension_mismatch and not names["b.docx"].extension_mismatch and names["e.pdf"].media_type == "application/pdf" and names["m.docx"].readable is False
 
 
+def test_other_encodings():
+    assert probe.guessed_confidence("text é\n".encode("utf-16")) == 0.98 and probe.guessed_confidence(("text" * 9).encode("utf-16-le")) == 0.85
+    assert probe.guessed_confidence("caf\u00e9 au lait".encode("latin-1")) == 0.70 and probe.guessed_confidence(bytes([0, 255, 1, 2]) * 100) == 0.0
+
+
+def test_access(spark):
+    files = {"a.pdf": b"%PDF-1.7 /Encrypt /Sig /ByteRange /JS (x) /Launch", "b.pdf": b"%PDF-1.7 plain", "c.docx": formats.package({"word/document.xml": "<x/>", "word/settings.xml": "<documentProtection/>", "_xmlsignatures/s.xml": "<s/>"}), "d.doc": formats.compound("EncryptedPackage VBA".encode("utf-16le")), "e.txt": b"x"}
+    t = ingest.plan(acquire.injected(spark, files), until="native_units")
+    names = {r.document_id: r.display_name for r in t["artifacts"].select("document_id", "display_name").collect()}
+    got = {names[r.document_id]: (r.access_state, r.signature, list(r.restrictions)) for r in t["access_states"].collect()}
+    assert got["a.pdf"] == ("secret_required", "present_unverified", ["javascript_present_inert", "launch_action_present_inert"]) and got["b.pdf"] == ("clear", "absent", [])
+    assert got["c.docx"] == ("clear_restricted", "present_unverified", ["native_editing_restriction_present"]) and got["d.doc"][0] == "secret_required" and got["e.txt"][0] == "clear"
+    assert not {names[r.document_id] for r in t["native_units"].collect()} & {"a.pdf", "d.doc"}
+
+
 def test_ingest(spark, bundle, tmp_path):
     t = ingest.plan(bundle)
     ids = {r.document_id: r.display_name for r in bundle.select("document_id", "display_name").collect()}
