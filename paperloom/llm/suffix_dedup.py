@@ -51,7 +51,7 @@ PIECE_BYTES = 256 << 10
 BUCKET_BYTES = 24 << 20
 #: Contexts under one anchor that stay together, and bytes of a shard.
 GROUP = 1024
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 NO_ID = -(1 << 63)
 
 _TABLE = np.random.default_rng(1909).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -362,12 +362,13 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.
     return order, group
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, lanes: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, lanes: np.ndarray, group: np.ndarray | None = None, depth: int = LENGTH) -> np.ndarray:
     """For each position, the bytes (``depth`` at most) that it shares with the suffix before it in ``order``.
 
     Kasai's method: from one position to the next the number falls by one at most, so that comparing resumes there.
     ``lanes`` are the starts of stretches (ascending, the first is 0); all stretches advance in step. Where the last
-    number was cut at ``depth``, the order beyond is not known and comparing starts anew.
+    number was cut at ``depth``, the order beyond is not known and comparing starts anew. Neighbours that ``group``
+    says agree on all of ``depth`` need no comparing.
     """
     n, words = len(data), words_at(data)
     before = np.full(n, -1, np.int64)
@@ -381,7 +382,12 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, lanes: np.ndarray, dept
         j = before[i]
         l = np.where(last[live] < depth, np.maximum(last[live] - 1, 0), 0)  # noqa: E741
         l[j < 0] = 0
-        open_ = np.flatnonzero(j >= 0)
+        if group is None:
+            open_ = np.flatnonzero(j >= 0)
+        else:
+            same = (j >= 0) & (group[i] == group[j])
+            l[same] = depth
+            open_ = np.flatnonzero((j >= 0) & ~same)
         while len(open_):
             a, b = i[open_] + l[open_], j[open_] + l[open_]
             ok = (a < n) & (b < n) & (l[open_] < depth)
@@ -413,8 +419,8 @@ def _shard(rows: list[pa.RecordBatch]) -> Iterator[tuple]:
     sizes = np.array([len(x) for x in contexts], np.int64)
     data = np.frombuffer(b"".join(contexts), np.uint8)
     lanes = np.cumsum(sizes) - sizes
-    order, _ = suffix_array(data)
-    shared = common_prefixes(data, order, lanes)
+    order, group = suffix_array(data)
+    shared = common_prefixes(data, order, lanes, group)
     of = np.repeat(np.arange(len(sizes)), sizes)
     offset = np.arange(len(data)) - lanes[of]
     whole = sizes[of] - offset >= LENGTH

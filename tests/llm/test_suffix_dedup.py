@@ -102,6 +102,8 @@ def test_suffix_array_and_prefixes():
         assert [prefix[i] for i in order] == sorted(prefix)
         lanes = np.array([0, 100, 350, 351, 600])
         shared = suffix_dedup.common_prefixes(data, order, lanes)
+        known = suffix_dedup.common_prefixes(data, order, lanes, group)
+        assert np.array_equal(shared == 100, known == 100) and np.array_equal(shared, known)
         for a, b in zip(order, order[1:]):
             x, y = bytes(data[a : a + 100]), bytes(data[b : b + 100])
             want = next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
