@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from paperloom.llm import near_copies, simhash, storage
+from paperloom.llm import simhash_dedup, simhash, storage
 
 
 def shingles(text):
@@ -34,7 +34,7 @@ def test_matches_all_pairs(spark):
     docs = storage.documents(spark, "/root/testdata/sf0.01")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     want = sorted({rows[i][0] for i in brute(rows)})
-    assert sorted(r.doc_id for r in near_copies.distinct_documents(docs).collect()) == want
+    assert sorted(r.doc_id for r in simhash_dedup.distinct_documents(docs).collect()) == want
 
 
 def test_edited_copies(spark, frame):
@@ -47,7 +47,7 @@ def test_edited_copies(spark, frame):
             for _ in range(rng.randint(0, max(1, len(words) // 100))):
                 own[rng.randrange(len(own))] = rng.choice(vocabulary)
             rows.append((len(rows), " ".join(own)))
-    got = sorted(r.doc_id for r in near_copies.distinct_documents(frame(rows, "doc_id long, text string")).collect())
+    got = sorted(r.doc_id for r in simhash_dedup.distinct_documents(frame(rows, "doc_id long, text string")).collect())
     want = sorted({rows[i][0] for i in brute(rows)})
     assert got == want
 
@@ -55,12 +55,12 @@ def test_edited_copies(spark, frame):
 def test_odd_rows(spark, frame, odd_documents):
     rows = [(5, "A b"), (5, "a  B "), (5, "other text here"), (5, "other text here"), (None, "a b"), (None, "only without id"), (7, None), (8, " "), (9, "")]
     docs = frame(rows, "doc_id long, text string").selectExpr("*", "1 AS row", "2 AS doc", "'x' AS number")
-    out = near_copies.distinct_documents(docs)
+    out = simhash_dedup.distinct_documents(docs)
     assert out.columns == docs.columns
     got = sorted(((r.doc_id, (r.text or "").lower().split()) for r in out.collect()), key=str)
     assert got == sorted([(5, ["a", "b"]), (5, ["other", "text", "here"]), (None, ["only", "without", "id"]), (7, [])], key=str)
-    assert near_copies.distinct_documents(odd_documents).count() == len({tuple((r.text or "").encode().lower().split()) for r in odd_documents.collect()})
-    assert near_copies.distinct_documents(frame([], "doc_id long, text string")).count() == 0
+    assert simhash_dedup.distinct_documents(odd_documents).count() == len({tuple((r.text or "").encode().lower().split()) for r in odd_documents.collect()})
+    assert simhash_dedup.distinct_documents(frame([], "doc_id long, text string")).count() == 0
 
 
 def test_bags_of_like_sets_agree():
@@ -71,6 +71,6 @@ def test_bags_of_like_sets_agree():
         a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
         change = max(1, n // 9)
         b = np.concatenate([a[change:], rng.integers(0, 1 << 63, change, dtype=np.uint64)])
-        x, y = (set(zip(*(v.tolist() for v in near_copies.bag_fingerprints(np.unique(s))))) for s in (a, b))
+        x, y = (set(zip(*(v.tolist() for v in simhash_dedup.bag_fingerprints(np.unique(s))))) for s in (a, b))
         missed += not x & y
     assert missed <= 1
