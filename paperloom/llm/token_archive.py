@@ -80,7 +80,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> Archi
     """Encodes ``docs(doc_id, text)`` into an archive at ``path``."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), storage.text_or_empty().alias("text"))
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text").limit(DICTIONARY_DOCUMENTS).collect()
+    sample = storage.smallest_hashes(rows, "doc_id", DICTIONARY_DOCUMENTS, rows.count()).collect()
     enc = encoder(tokenizer_path)
     width = 2 if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     kind = f"<u{width}"
