@@ -110,3 +110,15 @@ def test_redaction_and_odd_rows(frame, odd_documents):
 def test_thresholds_exist(spark, k):
     _, limits = pii.train(spark)
     assert limits[k] < float("inf")
+
+
+def test_base_matches_on_random_texts(spark, frame):
+    import random
+
+    rng = random.Random(12)
+    pieces = list("0123456789") * 2 + list("@.+-_%() [](){}:ab") + [".c", "@x.y", "+1 ", "4111 1111 1111 1111", "255.", "256.", "10.0.0.1", "é", "\n", "at ", " dot "]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
+    docs = frame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r.base] for r in pii.find(docs).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
+    assert sum(map(len, got.values())) > 1000
