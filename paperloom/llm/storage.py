@@ -102,3 +102,9 @@ def read_all(uri: str) -> bytes:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def discard(spark: SparkSession) -> None:
+    """Deletes everything that this package keeps in the shared folder; results that still read it must be written first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/paperloom")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
