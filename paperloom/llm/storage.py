@@ -89,6 +89,18 @@ def open_new(uri: str):
     return files.open_output_stream(path)
 
 
+def publish(written: str, uri: str) -> None:
+    """Gives a finished file its name in one step. A file that has it already, from an earlier attempt, is the same."""
+    files, path = _split(uri)
+    source = _split(written)[1]
+    if files is None:
+        os.replace(source, path)
+    elif files.get_file_info(path).type.name == "NotFound":
+        files.move(source, path)
+    else:
+        files.delete_file(source)
+
+
 def open_at(uri: str):
     """A readable, seekable binary file."""
     files, path = _split(uri)

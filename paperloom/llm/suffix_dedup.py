@@ -29,12 +29,14 @@ rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,11 +164,18 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 
 def scan(path: str, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Writes the texts by block; sends anchors, after the copies within a block have gone."""
-    file, block, sink, writer = uuid.uuid4().int >> 65, 0, None, None
+    """Writes the texts by block; sends anchors, after the copies within a block have gone.
+
+    A partition's file has the same name and content in every attempt, since what is sent names it: a task that is
+    repeated after its executor was lost sends just what it sent before.
+    """
+    context = TaskContext.get()
+    part = context.partitionId() if context else 0
+    file = int.from_bytes(hashlib.sha256(f"{path}/{part}".encode()).digest()[:8], "big") >> 1
+    block, sink, writer, draft = 0, None, None, f"{_name(path, file)}.{uuid.uuid4().hex}"
     for batch in (part for whole in batches for part in slices(whole, "text", BLOCK_BYTES)):
         if writer is None:
-            sink = storage.open_new(_name(path, file))
+            sink = storage.open_new(draft)
             writer = pa.ipc.new_file(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression="zstd"))
         kept = pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"].cast(pa.large_binary())], schema=_TEXTS)
         writer.write_batch(kept)
@@ -197,6 +206,7 @@ def scan(path: str, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator
     if writer is not None:
         writer.close()
         sink.close()
+        storage.publish(draft, _name(path, file))
 
 
 def _by_block(file: np.ndarray, block: np.ndarray) -> list[np.ndarray]:
