@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from paperloom.llm import simhash_dedup, simhash, storage
 
@@ -74,3 +75,26 @@ def test_bags_of_like_sets_agree():
         x, y = (set(zip(*(v.tolist() for v in simhash_dedup.bag_fingerprints(np.unique(s))))) for s in (a, b))
         missed += not x & y
     assert missed <= 1
+
+
+def star(rng, length, variants, edits, spread):
+    """An original in the middle of the ids, and variants that are near to it but not to each other."""
+    base = [f"b{rng.randrange(10**6)}" for _ in range(length)]
+    rows = []
+    for i in range(variants):
+        own = list(base)
+        for place in rng.sample(range(0, length, spread), edits):
+            own[place] = f"e{rng.randrange(10**9)}"
+        rows.append((i if i < variants // 2 else i + 1, " ".join(own)))
+    return [*rows, (variants // 2, " ".join(base))]
+
+
+@pytest.mark.parametrize("paired", [32])
+def test_original_in_the_middle(spark, frame, monkeypatch, paired):
+    monkeypatch.setattr(simhash_dedup, "PAIRED", paired, raising=False)
+    rows = star(random.Random(5), 400, 100, 6, 10)
+    sets = {i: shingles(t) for i, t in rows}
+    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert min(like(50, i) for i in sets) >= 0.8 and sum(like(a, b) < 0.8 for a in sets for b in sets if a < b) > 4000
+    got = sorted(r.doc_id for r in simhash_dedup.distinct_documents(frame(rows, "doc_id long, text string")).collect())
+    assert got == [0]
