@@ -98,3 +98,14 @@ def test_original_in_the_middle(spark, frame, monkeypatch, paired):
     assert min(like(50, i) for i in sets) >= 0.8 and sum(like(a, b) < 0.8 for a in sets for b in sets if a < b) > 4000
     got = sorted(r.doc_id for r in simhash_dedup.distinct_documents(frame(rows, "doc_id long, text string")).collect())
     assert got == [0]
+
+
+def test_repeats_within_a_copy(frame):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, *words[:6] * 300]))]
+    sets = [shingles(t) for _, t in rows]
+    assert len(sets[0] & sets[1]) / len(sets[0] | sets[1]) >= 0.8
+    fps = [simhash.fingerprint(simhash.shingle_hashes(t, 5)) for _, t in rows]
+    assert (fps[0] ^ fps[1]).bit_count() > 19
+    got = [r.doc_id for r in simhash_dedup.distinct_documents(frame(rows, "doc_id long, text string")).collect()]
+    assert got == [1]
