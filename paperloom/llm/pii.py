@@ -47,7 +47,7 @@ PROPOSED = {
 }
 #: What a text must hold for a pattern to match at all.
 NEEDS = {"email": "contains(text, '@')", "ip": "text rlike '[0-9]'", "card": "text rlike '[0-9]'", "phone": "contains(text, '+')"}
-PROPOSAL_NEEDS = {"email": "(contains(text, '@') OR text rlike '(?i)[ \\\\[({]dot[ \\\\])}]')", "ip": "text rlike '[0-9]'", "card": "text rlike '[0-9]'", "phone": "text rlike '[0-9]'"}
+PROPOSAL_NEEDS = {"email": "(contains(text, '@') OR text rlike '(?i)[ \\\\[({]at[ \\\\])}]')", "ip": "text rlike '[0-9]'", "card": "text rlike '[0-9]'", "phone": "text rlike '[0-9]'"}
 #: Code points of context on either side.
 CONTEXT = 32
 WORDS = {

@@ -122,3 +122,17 @@ def test_base_matches_on_random_texts(spark, frame):
     got = {r.doc_id: [tuple(x) for x in r.base] for r in pii.find(docs).collect()}
     assert got == {i: brute(t) for i, t in enumerate(texts)}
     assert sum(map(len, got.values())) > 1000
+
+
+def test_gate_lets_every_address_through(spark, frame):
+    ats = ["@", " @ ", " at ", "(at)", "[at]", "{at}", " [at] ", " (AT) ", " At "]
+    dots = [".", " dot ", "[dot]", "(dot)", "{dot}", " DOT "]
+    texts = [f"please write to jane.doe{at}example{dot}org today" for at in ats for dot in dots]
+    texts += ["at noon", "that data", "attic. com", "x at", "no (a) t", "a dot b"]
+    made = [(t, [e for k, *e in spans if k == 0]) for t, spans in pii.sentences(600, seed=5)]
+    docs = frame([(i, t) for i, t in enumerate(texts + [t for t, _ in made])], "doc_id long, text string")
+    rows = docs.selectExpr("doc_id", f"{pii.PROPOSAL_NEEDS['email']} AS gate", f"text rlike {pii._quoted(pii.PROPOSED['email'])} AS matches").collect()
+    assert [r for r in rows if r.matches and not r.gate] == []
+    assert all(r.matches for r in rows if r.doc_id < len(ats) * len(dots))
+    plain = frame([(i, f"contact: jane.doe{at}example.org today") for i, at in enumerate(["(at)", "[at]", "{at}"])], "doc_id long, text string")
+    assert [len(r.added) for r in pii.find(plain).orderBy("doc_id").collect()] == [1, 1, 1]
