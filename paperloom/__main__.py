@@ -24,7 +24,7 @@ def main(arguments: list[str] | None = None) -> int:
     args = parser.parse_args(arguments)
     request = normalized(for_path(args.source))
     limits = request["resource_budget"]
-    policy = ingest.Policy(Budget(limits["source_bytes"], limits["decompressed_bytes"], limits["parts"]), request["rendering_policy"]["mode"])
+    policy = ingest.Policy(Budget(limits["source_bytes"], limits["decompressed_bytes"], limits["parts"]), request["rendering_policy"]["mode"], profiles=tuple(request["rendering_policy"]["profiles"]))
     spark = SparkSession.builder.appName("paperloom").getOrCreate()
     tables = ingest.write(spark, request["sources"][0]["uri"], args.output, policy, args.until)
     if "package" not in tables:

@@ -66,3 +66,13 @@ def bundle_hash(rows: Column) -> Column:
     """Hash of a set of rows given as an array of (ordinal, role, sha256) structs, whatever their order."""
     each = F.transform(F.array_sort(rows), lambda r: F.to_json(F.struct(r["ordinal"].alias("ordinal"), r["role"].alias("role"), r["sha256"].alias("sha256"))))
     return content_hash(F.concat(F.lit("["), F.array_join(each, ","), F.lit("]")))
+
+
+#: Fixed value: what no renderer may do.
+RESTRAINTS = {"field_update": "disabled", "formula_recalculation": "disabled", "macros": "disabled", "network": "denied"}
+
+
+def environment_hash(profile: Column, renderer: Column, runtime: dict[str, str]) -> Column:
+    """Hash of what a rendering depends on: profile, renderer, the runtime's versions and settings, and its restraints."""
+    fixed = {k: F.lit(v) for k, v in {**RESTRAINTS, **runtime}.items()}
+    return content_hash(canonical_json(profile=profile, renderer_family=renderer, **fixed))

@@ -56,10 +56,13 @@ def a1_row(address: Column) -> Column:
 
 
 def a1_address(row: Column, column: Column) -> Column:
-    """Address of a cell in the first 702 columns."""
-    first = F.floor((column - 27) / 26)
-    high = F.when(column > 26, F.char(F.lit(65) + first)).otherwise(F.lit(""))
-    return F.concat(high, F.char(F.lit(65) + F.pmod(column - 1, F.lit(26))), row.cast("string"))
+    """Address of a cell: the column in bijective base 26, for as many letters as a sheet of 2 ** 31 columns needs."""
+    letters, left = F.lit(""), column
+    for _ in range(7):
+        digit = F.pmod(left - 1, F.lit(26))
+        letters = F.concat(F.when(left > 0, F.char(F.lit(65) + digit)).otherwise(F.lit("")), letters)
+        left = F.when(left > 0, F.floor((left - 1) / 26)).otherwise(F.lit(0))
+    return F.concat(letters, row.cast("string"))
 
 
 def formula_dependencies(source: Column) -> Column:
@@ -111,3 +114,35 @@ def xml_escaped(value: Column) -> Column:
 def weighted_ratio(exact: Column, approximate: Column, total: Column) -> Column:
     """(exact + approximate / 2) / total to six decimals, halves to even; null where there is nothing to score."""
     return F.when(total > 0, F.bround((exact + approximate * 0.5) / total, 6))
+
+
+#: Fixed value: what a path's component keeps besides letters and digits, with the codes that others get.
+PATH_SAFE = "()/[]{}@!$&',;=+~"
+
+
+def portable_component(value: Column) -> Column:
+    """A path's component with backslashes turned and all but plain characters as percent codes; "unnamed" if empty."""
+    x = F.url_encode(F.replace(value, F.lit("\\"), F.lit("/")))
+    x = F.replace(F.replace(x, F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A"))
+    for c in PATH_SAFE:
+        x = F.replace(x, F.lit(f"%{ord(c):02X}"), F.lit(c))
+    return F.when(value == "", "unnamed").otherwise(x)
+
+
+def redacted_locator(kind: Column, display_name: Column) -> Column:
+    """A source's place without its folders."""
+    return F.concat(kind, F.lit(":"), F.element_at(F.split(display_name, "/"), -1))
+
+
+#: Fixed value: fields that make a JSON object a reference to another contract.
+REFERENCE_FIELDS = ["path", "sha256", "schema_id", "schema_version", "contract_id"]
+
+
+def json_references(text: Column) -> Column:
+    """Array of (path, sha256, contract_id) of all reference-shaped objects at any depth of a JSON text.
+
+    References hold no further objects, so that the innermost braces find them.
+    """
+    flat = F.regexp_extract_all(text, F.lit(r'\{(?:[^{}"]|"(?:[^"\\]|\\.)*")*\}'), F.lit(0))
+    whole = F.filter(flat, lambda o: F.forall(F.array(*[F.lit(f) for f in REFERENCE_FIELDS]), lambda f: F.contains(o, F.concat(F.lit('"'), f, F.lit('"')))))
+    return F.transform(whole, lambda o: F.struct(F.get_json_object(o, "$.path").alias("path"), F.get_json_object(o, "$.sha256").alias("sha256"), F.get_json_object(o, "$.contract_id").alias("contract_id")))

@@ -1,7 +1,9 @@
 """Recursive work on edge tables: inheritance, nearest ancestors, cycles.
 
-All three walk by joins that double the distance covered per round, so that a chain of n links takes log2(n) joins.
-Rounds end when nothing is left to walk, or after ``ROUNDS`` (chains of 2 ** ROUNDS links).
+A node keeps one pointer and what it knows so far, never a list of its ancestors: every round it takes over what the
+node at its pointer knows and then points to where that one points, so that a chain of n links takes log2(n) rounds
+and the tables stay as large as their result. A round ends early when no pointer is left; pointers on cycles never
+end, and are given up once they have gone as far as there are nodes.
 """
 
 from __future__ import annotations
@@ -11,48 +13,70 @@ from pyspark.sql import functions as F
 
 from ..storage import kept
 
-ROUNDS = 20
 
+def _pointers(edges: DataFrame) -> DataFrame:
+    """(node, parent): one parent each, the smallest."""
+    known = edges.filter("node IS NOT NULL AND parent IS NOT NULL")
+    return kept(known.groupBy("node").agg(F.min("parent").alias("parent")), "pointers")
 
-def ancestors(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(node, ancestor, depth) for ``edges(node, parent)``, each pair once at its least depth; cycles come to rest.
 
-    Every round joins all known stretches with each other: after k rounds all ancestors within 2 ** k are known.
-    """
-    known = edges.filter("node IS NOT NULL AND parent IS NOT NULL").select("node", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("depth")).groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
-    known = kept(known, "ancestors")
-    n = known.count()
-    for _ in range(rounds):
-        further = known.alias("a").join(known.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor", (F.col("a.depth") + F.col("b.depth")).alias("depth"))
-        grown = known.unionByName(further).groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
-        grown = kept(grown, "ancestors")
-        m = grown.count()
-        known = grown
-        if m == n:
-            break
-        n = m
-    return known
+def _doubled(pointers: DataFrame) -> DataFrame:
+    """Every pointer moved on to where the node it points to points; those that reach an end go."""
+    ahead = pointers.select(F.col("node").alias("parent"), F.col("parent").alias("next"))
+    return kept(pointers.join(ahead, "parent").select("node", F.col("next").alias("parent")), "pointers")
 
 
 def inherited(values: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, name, value): every property that a node has or inherits; the nearest one wins.
 
-    ``values(node, name, value)`` are own properties, ``edges(node, parent)`` say what a node is based on.
+    ``values(node, name, value)`` are own properties, ``edges(node, parent)`` say what a node is based on (one parent;
+    of several the smallest counts). Of repeated properties the smallest value counts.
     """
-    own = values.select("node", "name", "value", F.lit(0).cast("long").alias("depth"))
-    above = ancestors(edges).join(values.withColumnRenamed("node", "ancestor"), "ancestor").select("node", "name", "value", "depth")
-    return own.unionByName(above).groupBy("node", "name").agg(F.min_by("value", F.struct("depth", "value")).alias("value"))
+    known = kept(values.groupBy("node", "name").agg(F.min("value").alias("value")).withColumn("depth", F.lit(0).cast("long")), "inherited")
+    pointers = _pointers(edges)
+    nodes = left = pointers.count()
+    reach = 1
+    while left and reach <= 2 * nodes:
+        above = known.withColumnRenamed("node", "parent").withColumn("depth", F.col("depth") + reach)
+        taken = pointers.join(above, "parent").select("node", "name", "value", "depth")
+        nearest_first = F.min_by(F.struct("value", "depth"), "depth").alias("best")
+        known = kept(known.unionByName(taken).groupBy("node", "name").agg(nearest_first).select("node", "name", "best.value", "best.depth"), "inherited")
+        pointers = _doubled(pointers)
+        left, reach = pointers.count(), reach * 2
+    return known.select("node", "name", "value")
 
 
 def nearest(addresses: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, address): a node's own address, else that of its nearest ancestor with one; null without any."""
-    had = addresses.filter("address IS NOT NULL")
-    above = ancestors(edges).join(had.withColumnRenamed("node", "ancestor"), "ancestor").select("node", "address", "depth")
-    every = had.select("node", "address", F.lit(0).cast("long").alias("depth")).unionByName(above)
-    best = every.groupBy("node").agg(F.min_by("address", F.struct("depth", "address")).alias("address"))
-    return addresses.select("node").distinct().join(best, "node", "left")
+    own = addresses.filter("address IS NOT NULL").select("node", F.lit("address").alias("name"), F.col("address").alias("value"))
+    found = inherited(own, edges).select("node", F.col("value").alias("address"))
+    return addresses.select("node").distinct().join(found, "node", "left")
 
 
 def on_cycles(edges: DataFrame) -> DataFrame:
-    """(node) of the nodes that are their own ancestors."""
-    return ancestors(edges).filter("node = ancestor").select("node").distinct()
+    """(node) of the nodes that lead back to themselves, where every node has one parent.
+
+    After as many steps as there are nodes, whatever is still pointed to lies on a cycle, and all of every cycle is.
+    """
+    pointers = _pointers(edges)
+    nodes = left = pointers.count()
+    reach = 1
+    while left and reach < nodes:
+        pointers = _doubled(pointers)
+        left, reach = pointers.count(), reach * 2
+    return pointers.select(F.col("parent").alias("node")).distinct()
+
+
+def cyclic_core(edges: DataFrame) -> DataFrame:
+    """(node, parent): the edges left when nodes without parents and nodes without children are peeled off in turn.
+
+    Nodes may have many parents. Nothing is left just when there is no cycle; rounds follow the longest path, which
+    for references between contracts is the number of stages.
+    """
+    rest = kept(edges.filter("node IS NOT NULL AND parent IS NOT NULL").select("node", "parent").distinct(), "core")
+    before, n = -1, rest.count()
+    while n and n != before:
+        inner = rest.join(rest.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi").join(rest.select(F.col("parent").alias("node")).distinct(), "node", "left_semi")
+        rest = kept(inner.select("node", "parent"), "core")
+        before, n = n, rest.count()
+    return rest

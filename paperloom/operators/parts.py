@@ -70,3 +70,8 @@ def occurrences(relationships: DataFrame, resources: DataFrame) -> DataFrame:
 
 def unused(resources: DataFrame, found: DataFrame) -> DataFrame:
     return resources.join(found, "resource_id", "left_anti")
+
+
+def dangling(found: DataFrame, resources: DataFrame) -> DataFrame:
+    """Occurrences whose resource nothing defines: what a catalog must not have."""
+    return found.join(resources.select("resource_id"), "resource_id", "left_anti")

@@ -82,3 +82,83 @@ def broken_counters(measured: DataFrame, keys: list[str]) -> DataFrame:
     for x in limit[1:]:
         bad = bad | x
     return measured.filter(bad | (F.col("omitted") > F.col("required"))).select(*keys)
+
+
+# --- features of documents ----------------------------------------------------------------------------------------------
+
+# Feature -> (axis, stage, severity), and the features that each axis is made of ----------------------------
+FEATURES = {
+    "binary_artifact": ("binary", "binary_to_container", "critical"), "container_part": ("structural", "container_to_native", "info"), "container_relationship": ("relationship", "binary_to_container", "info"),
+    "native_core_unit": ("structural", "native_to_technical_ir", "error"), "native_style": ("style", "native_to_technical_ir", "warning"), "native_relationship": ("relationship", "native_to_technical_ir", "error"),
+    "native_metadata": ("technical_semantic", "native_to_technical_ir", "warning"), "native_annotation": ("technical_semantic", "native_to_technical_ir", "error"), "native_resource": ("technical_semantic", "native_to_technical_ir", "error"),
+    "resource_occurrence": ("structural", "native_to_technical_ir", "warning"), "formula": ("computational", "native_to_technical_ir", "critical"), "revision": ("technical_semantic", "native_to_technical_ir", "error"),
+    "interactive_content": ("interactive", "native_to_technical_ir", "warning"), "opaque_content": ("roundtrip", "roundtrip", "warning"), "rendered_surface": ("visual", "native_to_rendered", "error"),
+    "rendered_native_visibility": ("visual", "native_to_rendered", "error"), "visible_geometry_coverage": ("visual", "native_to_rendered", "error"), "rendered_geometry": ("visual", "native_to_rendered", "error"),
+    "derived_asset": ("visual", "rendered_to_asset", "error"), "source_rendering_attempt": ("visual", "native_to_rendered", "error"), "required_source_rendering": ("visual", "native_to_rendered", "error"),
+    "legacy_semantic_decode": ("technical_semantic", "native_to_technical_ir", "error"), "technical_ir_projection_warning": ("technical_semantic", "native_to_technical_ir", "warning"),
+}
+AXES = {
+    "binary": ["binary_artifact"], "structural": ["native_core_unit", "resource_occurrence"], "style": ["native_style"], "relationship": ["native_relationship"], "computational": ["formula"], "interactive": ["interactive_content"],
+    "technical_semantic": ["native_core_unit", "native_metadata", "native_annotation", "native_resource", "revision", "technical_ir_projection_warning", "legacy_semantic_decode"],
+}
+VISUAL = ["rendered_surface", "rendered_native_visibility", "visible_geometry_coverage"]
+RENDERING_STAGES = ["native_to_rendered", "rendered_to_asset"]
+
+
+def facts(rows: DataFrame, feature: str | Column, required: Column | bool = True, preserved: Column | bool = True, opaque: Column | bool = False, unsupported: Column | bool = False, projected: Column | None = None, rendered: Column | None = None, severity: Column | None = None) -> DataFrame:
+    """Rows for ``measurements`` from ``rows(document_id, ...)``, one for each id of a feature."""
+    name = F.lit(feature) if isinstance(feature, str) else feature
+    of = lambda i: F.element_at(F.create_map(*[x for k, v in FEATURES.items() for x in (F.lit(k), F.lit(v[i]))]), name)
+    given = lambda x: F.lit(x) if isinstance(x, bool) else F.coalesce(x, F.lit(False))
+    none = F.lit(None).cast("string")
+    return rows.select(
+        "document_id", name.alias("feature"), of(0).alias("axis"), of(1).alias("stage"), F.coalesce(severity if severity is not None else none, of(2)).alias("severity"), given(required).alias("required"), given(preserved).alias("preserved"),
+        given(opaque).alias("opaque"), given(unsupported).alias("unsupported"), (projected if projected is not None else none).alias("projected"), (rendered if rendered is not None else none).alias("rendered"),
+    )
+
+
+def feature_measurements(rows: DataFrame) -> DataFrame:
+    """Counters of every document and feature; only the rendering stages count what rendering approximates."""
+    return measurements(rows, ["document_id", "feature", "axis", "stage", "severity"], F.col("stage").isin(RENDERING_STAGES))
+
+
+def document_scores(measured: DataFrame, lost: DataFrame, formats: DataFrame) -> DataFrame:
+    """(document_id, axis, score) of the nine axes; null where nothing is required.
+
+    ``formats(document_id, legacy, text_only)``. The visual score is the product of the factors that exist, null
+    without an assessed surface; the round trip follows from what was lost.
+    """
+    pairs = F.array(*[F.struct(F.lit(a).alias("axis"), F.lit(f).alias("feature")) for a, fs in AXES.items() for f in fs])
+    own = measured.withColumn("pair", F.explode(F.filter(pairs, lambda p: p["feature"] == F.col("feature"))))
+    plain = axis_scores(own.select("document_id", F.col("pair.axis").alias("axis"), "exact_hits", "approximate_hits", "required"), ["document_id"])
+    every = formats.select("document_id", F.explode(F.array(*[F.lit(a) for a in AXES])).alias("axis")).join(plain, ["document_id", "axis"], "left")
+    factor = lambda f: F.max(F.when(F.col("feature") == f, weighted_ratio(F.col("exact_hits"), F.col("approximate_hits"), F.col("required"))))
+    seen = measured.groupBy("document_id").agg(visual_score(*[factor(f) for f in VISUAL]).alias("score"))
+    visual = formats.select("document_id").join(seen, "document_id", "left").select("document_id", F.lit("visual").alias("axis"), "score")
+    grave, light = F.col("severity").isin("critical", "error"), F.col("severity") == "warning"
+    counts = lost.groupBy("document_id").agg(F.count_if(grave).alias("major"), F.count_if(light).alias("minor"))
+    rows = formats.join(counts, "document_id", "left").fillna(0, ["major", "minor"])
+    back = rows.select("document_id", F.lit("roundtrip").alias("axis"), roundtrip(F.col("major"), F.col("minor"), F.col("legacy"), F.col("text_only"))[0].alias("score"))
+    return every.select("document_id", "axis", "score").unionByName(visual).unionByName(back)
+
+
+def quality_failures(measured: DataFrame, lost: DataFrame, changes: DataFrame, scores: DataFrame) -> DataFrame:
+    """(document_id, rule, subject): counters over what was met, losses with a wrong id or without a measurement, links
+    of transitions that don't follow each other, scores out of range or of unknown axes, features that don't exist."""
+    of = lambda rows, rule, subject: rows.select("document_id", F.lit(rule).alias("rule"), subject.cast("string").alias("subject"))
+    over = F.lit(False)
+    for c in ("required", "preserved", "projected", "rendered", "opaque", "approximated", "unsupported", "omitted"):
+        over = over | (F.col(c) > F.col("encountered")) | (F.col(c) < 0)
+    identity = stable_id("loss", canonical_json(document_id=F.col("document_id").cast("string"), feature=F.col("feature"), kind=F.col("kind")))
+    order = F.array(*[F.lit(x) for x in ("binary", "container", "native", "technical_ir", "rendered", "geometry", "asset")])
+    twice = measured.groupBy("document_id", "feature").agg(F.count("*").alias("n"), F.count_distinct("severity").alias("s")).filter("n > s").drop("s")
+    parts = [
+        of(measured.filter(over), "counter_over_encountered", F.col("feature")), of(measured.filter("omitted > required"), "omitted_over_required", F.col("feature")), of(measured.filter(~F.col("feature").isin(list(FEATURES))), "unknown_feature", F.col("feature")), of(twice, "feature_twice", F.col("feature")),
+        of(lost.filter(F.col("loss_id") != identity), "loss_id", F.col("loss_id")), of(lost.join(measured, ["document_id", "feature"], "left_anti"), "loss_without_measurement", F.col("loss_id")), of(lost.groupBy("document_id", "loss_id").agg(F.count("*").alias("n")).filter("n > 1"), "loss_twice", F.col("loss_id")),
+        of(changes.filter(F.array_position(order, F.col("from_layer")) >= F.array_position(order, F.col("to_layer"))), "transition_backward", F.col("from_layer")), of(changes.filter(~F.col("confidence").between(0, 1)), "transition_confidence", F.col("from_layer")),
+        of(scores.filter(~F.col("axis").isin([*AXES, "visual", "roundtrip"])), "unknown_axis", F.col("axis")), of(scores.filter(~F.col("score").between(0, 1)), "score_range", F.col("axis")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -67,3 +67,14 @@ def decisions(totals: DataFrame, broken: DataFrame, restricted: Column) -> DataF
 def access_state(blocked: Column, rejected: Column, encrypted: Column, has_secret: Column, restricted: Column) -> Column:
     """The first that applies of blocked, reject, secret_required, clear_restricted and clear."""
     return F.when(blocked, "blocked").when(rejected, "reject").when(encrypted & ~has_secret, "secret_required").when(restricted, "clear_restricted").otherwise("clear")
+
+
+def member_restrictions(path: Column, flags: Column, encrypted: Column) -> Column:
+    """Array of what a member's presence restricts: references out of the package, embedded documents, closed entries."""
+    rules = [
+        ("external_references_not_resolved", F.lower(path).endswith(".rels") | F.array_contains(flags, "external_link_part")),
+        ("embedded_documents_not_opened", F.array_contains(flags, "embedded_object")),
+        ("active_content_present_inert", F.array_contains(flags, "macro") | F.array_contains(flags, "activex")),
+        ("encrypted_entries_not_read", encrypted),
+    ]
+    return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), n) for n, c in rules]), lambda x: x.isNotNull())

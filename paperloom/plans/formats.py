@@ -195,7 +195,8 @@ FILES = {"txt": text_files, "docx": word_files, "xlsx": sheet_files, "pptx": sli
 
 def _units(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        units = containers.per_document(FILES[name](spark, sf_dir), native.DECODERS[name], native.UNITS)
+        files = FILES[name](spark, sf_dir)
+        units = native.decode(files, files.select("artifact_id", F.lit(name).alias("format_name"), F.lit(None).cast("string").alias("family")))
         flat = F.array_join(F.array_sort(F.transform(F.map_entries("properties"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ";")
         return units.withColumn("properties", flat)
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import canonical_json, stable_id
 from ..functions.scalar import safe_file_name
+from ..functions.windows import running_total
+from ..storage import kept
 
 COLUMNS = ["locator_id", "ordinal", "display_name", "role", "sha256", "size_bytes", "content"]
 KINDS = ["local_file", "archive", "directory", "bytes", "stream"]
@@ -19,17 +24,51 @@ def _artifacts(rows: DataFrame) -> DataFrame:
     return rows.select(artifact.alias("artifact_id"), document.alias("document_id"), *COLUMNS, F.concat(F.format_string("%06d-", "ordinal"), safe_file_name(F.col("display_name"))).alias("stored_name"))
 
 
-def files(spark: SparkSession, path: str, locator_id: str = "locator", role: str = "primary") -> DataFrame:
+class SymbolicLink(ValueError):
+    """A link among the files to acquire."""
+
+
+def refuse_links(path: str) -> None:
+    """Local folders must hold no symbolic links; other file systems are trusted to have none."""
+    parsed = urlparse(path)
+    if parsed.scheme not in ("", "file"):
+        return
+    root = unquote(parsed.path)
+    found = [root] if os.path.islink(root) else [os.path.join(at, n) for at, folders, names in os.walk(root) for n in (*folders, *names) if os.path.islink(os.path.join(at, n))]
+    if found:
+        raise SymbolicLink(f"links are refused: {sorted(found)[0]}")
+
+
+def _numbered(paths: DataFrame) -> DataFrame:
+    """``paths(path, length)`` with ``ordinal`` in order of the paths: range partitions, each counted from where it starts."""
+    parted = kept(paths.repartitionByRange("path").withColumn("part", F.spark_partition_id()), "paths")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parted.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # one row per partition
+    own = F.row_number().over(Window.partitionBy("part").orderBy("path")) - 1
+    return parted.join(F.broadcast(starts), "part").select("path", "length", (F.col("start") + own).cast("long").alias("ordinal"))
+
+
+def files(spark: SparkSession, path: str, locator_id: str = "locator", role: str = "primary", most_bytes: int | None = None) -> DataFrame:
     """Artifacts of a file or of all files below a folder, in order of their paths.
 
-    The ordinal is a rank among paths only, so that contents stay where they were read.
+    The ordinal is a rank among paths only, so that contents stay where they were read. With ``most_bytes``, files
+    from the one on with which their lengths exceed the budget aren't read at all.
     """
+    refuse_links(path)
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    ranked = found.select("path").withColumn("ordinal", (F.row_number().over(Window.orderBy("path")) - 1).cast("long"))  # names alone
-    rows = found.select("path", "content").join(ranked, "path")
+    ranked = _numbered(found.select("path", "length"))
+    if most_bytes is not None:
+        ranked = running_total(ranked, F.col("length"), "ordinal", "so_far").filter(F.col("so_far") <= most_bytes)
+    rows = found.select("path", "content").join(ranked.select("path", "ordinal"), "path")
     return _artifacts(rows.select(F.lit(locator_id).alias("locator_id"), "ordinal", F.element_at(F.split("path", "/"), -1).alias("display_name"), F.lit(role).alias("role"), "content"))
 
 
+def unexpected(artifacts: DataFrame, expected: DataFrame) -> DataFrame:
+    """(locator_id, code) of locators whose bytes aren't those that ``expected(locator_id, expected_sha256)`` claims."""
+    joined = artifacts.select("locator_id", "sha256").join(expected, "locator_id")
+    return joined.filter(F.col("sha256") != F.lower("expected_sha256")).select("locator_id", F.lit("DS-ACQ-004").alias("code")).distinct()
+
+
 def injected(spark: SparkSession, bindings: dict[str, bytes], role: str = "primary") -> DataFrame:
     """Artifacts of bytes that the caller hands over by locator."""
     rows = [(k, i, k, role, bytearray(v)) for i, (k, v) in enumerate(sorted(bindings.items()))]

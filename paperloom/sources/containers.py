@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import lzma
 import posixpath
 import struct
 import zipfile
@@ -34,7 +35,7 @@ def parse_xml(data: bytes) -> ElementTree.Element:
         raise ContainerError("document types, entities and oversized parts are refused")
     try:
         return ElementTree.fromstring(data)
-    except ElementTree.ParseError as error:
+    except (ElementTree.ParseError, ValueError, LookupError) as error:  # the last two: encodings that don't exist
         raise ContainerError(f"broken XML: {error}") from error
 
 
@@ -45,15 +46,27 @@ def local(tag: str) -> str:
 def open_zip(content: bytes) -> zipfile.ZipFile:
     try:
         return zipfile.ZipFile(io.BytesIO(content))
-    except (zipfile.BadZipFile, ValueError, OSError) as error:
-        raise ContainerError(str(error)) from error
+    except (*DAMAGE, struct.error) as error:
+        raise ContainerError(f"unreadable package: {error}") from error
+
+
+#: What reading a damaged, cut, encrypted or oddly compressed member raises.
+DAMAGE = (zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, lzma.LZMAError, EOFError, KeyError, NotImplementedError, OSError, OverflowError, RuntimeError, ValueError)
+
+
+def read_member(archive: zipfile.ZipFile, name: str | zipfile.ZipInfo) -> bytes:
+    """A member's bytes; every kind of damage is a ContainerError."""
+    try:
+        return archive.read(name)
+    except (*DAMAGE, struct.error, MemoryError) as error:
+        raise ContainerError(f"unreadable member: {error}") from error
 
 
 def content_types(archive: zipfile.ZipFile) -> tuple[dict[str, str], dict[str, str]]:
     """(overrides by path, defaults by extension)."""
     overrides, defaults = {}, {}
     if "[Content_Types].xml" in archive.namelist():
-        for node in parse_xml(archive.read("[Content_Types].xml")):
+        for node in parse_xml(read_member(archive, "[Content_Types].xml")):
             if local(node.tag) == "Override":
                 overrides[node.get("PartName", "").lstrip("/")] = node.get("ContentType", "")
             elif local(node.tag) == "Default":
@@ -64,7 +77,10 @@ def content_types(archive: zipfile.ZipFile) -> tuple[dict[str, str], dict[str, s
 def zip_members(document_id: str, content: bytes, most_bytes: int = 8 << 30) -> Iterator[dict]:
     """A row per member; inflation stops at ``most_bytes`` in all, and is never by name."""
     archive = open_zip(content)
-    overrides, defaults = content_types(archive)
+    try:
+        overrides, defaults = content_types(archive)
+    except ContainerError:
+        overrides, defaults = {}, {}  # its own row says that it can't be read, unless only its XML is broken
     methods = {zipfile.ZIP_STORED: "stored", zipfile.ZIP_DEFLATED: "deflate", zipfile.ZIP_BZIP2: "bzip2", zipfile.ZIP_LZMA: "lzma"}
     left = most_bytes
     for info in archive.infolist():
@@ -77,10 +93,10 @@ def zip_members(document_id: str, content: bytes, most_bytes: int = 8 << 30) ->
             state = "not_read"
         else:
             try:
-                data = archive.read(info)
+                data = read_member(archive, info)
                 left -= len(data)
                 digest = hashlib.sha256(data).hexdigest()
-            except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError):
+            except ContainerError:
                 state = "failed"
         extension = posixpath.splitext(info.filename)[1].lstrip(".").lower()
         yield {
@@ -96,7 +112,7 @@ def relationships(archive: zipfile.ZipFile, rels_path: str) -> dict[str, tuple[s
         return {}
     base = posixpath.dirname(posixpath.dirname(rels_path))
     out = {}
-    for node in parse_xml(archive.read(rels_path)):
+    for node in parse_xml(read_member(archive, rels_path)):
         external = node.get("TargetMode") == "External"
         target = node.get("Target", "")
         if not external:
@@ -111,7 +127,11 @@ def zip_relationships(document_id: str, content: bytes) -> Iterator[dict]:
         if name.endswith(RELS_SUFFIX):
             folder, file = posixpath.split(name)
             owner = posixpath.join(posixpath.dirname(folder), file[: -len(RELS_SUFFIX)]) if file != RELS_SUFFIX else None
-            for native, (target, kind, external) in relationships(archive, name).items():
+            try:
+                found = relationships(archive, name)
+            except ContainerError:
+                continue  # the member's row carries the failure
+            for native, (target, kind, external) in found.items():
                 yield {"document_id": document_id, "relationship_id": stable("relationship", document_id=document_id, rels=name, id=native), "native_id": native, "source_path": owner, "type": kind, "target": target, "external": external}
 
 
@@ -223,14 +243,16 @@ def _arrow(schema: str) -> pa.Schema:
     return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")])
 
 
-def per_document(artifacts: DataFrame, function, schema: str) -> DataFrame:
-    """Rows of ``function(document_id, content)`` for every artifact; a container that can't be read gives none.
-
-    Contents go to Python document by document, in batches bounded in bytes.
-    """
+def byte_bound(artifacts: DataFrame) -> None:
+    """Bounds the batches of contents that go to Python in bytes, where the session sets no bound of its own."""
     conf = artifacts.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
+def per_document(artifacts: DataFrame, function, schema: str) -> DataFrame:
+    """Rows of ``function(document_id, content)`` for every artifact; a container that can't be read gives no more."""
+    byte_bound(artifacts)
     arrow = _arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +265,7 @@ def per_document(artifacts: DataFrame, function, schema: str) -> DataFrame:
                         if len(rows) == 2000:
                             yield pa.RecordBatch.from_pylist(rows, arrow)
                             rows = []
-                except ContainerError:
+                except (ContainerError, struct.error):
                     pass
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, arrow)
@@ -251,34 +273,19 @@ def per_document(artifacts: DataFrame, function, schema: str) -> DataFrame:
     return artifacts.select("document_id", "content").mapInArrow(run, schema)
 
 
+def archive_members(document_id: str, content: bytes) -> Iterator[dict]:
+    yield from compound_members(document_id, content) if content[:4] == b"\xd0\xcf\x11\xe0" else zip_members(document_id, content)
+
+
 def members(artifacts: DataFrame) -> DataFrame:
     """Parts of all artifacts by what their first bytes say: ZIP members, compound entries, or the file itself."""
-    signature = F.hex(F.substring("content", 1, 4))
-    zips, compounds = artifacts.filter(signature == "504B0304"), artifacts.filter(signature == "D0CF11E0")
-    single = artifacts.filter(~signature.isin("504B0304", "D0CF11E0")).select(
+    archive = F.hex(F.substring("content", 1, 4)).isin("504B0304", "D0CF11E0")
+    single = artifacts.filter(~archive).select(
         "document_id", F.col("display_name").alias("path"), F.col("size_bytes").alias("compressed"), F.col("size_bytes").alias("inflated"), F.lit("stored").alias("method"), F.lit(False).alias("encrypted"), "sha256",
         F.lit("application/octet-stream").alias("media_type"), F.concat(F.lit("part_"), F.substring("sha256", 1, 26)).alias("part_id"), F.lit("read").alias("read_state"),
     )
-    return per_document(zips, zip_members, MEMBERS).unionByName(per_document(compounds, compound_members, MEMBERS)).unionByName(single)
+    return per_document(artifacts.filter(archive), archive_members, MEMBERS).unionByName(single)
 
 
 def part_relationships(artifacts: DataFrame) -> DataFrame:
     return per_document(artifacts.filter(F.hex(F.substring("content", 1, 4)) == "504B0304"), zip_relationships, RELATIONSHIPS)
-
-
-def member_names(artifacts: DataFrame) -> DataFrame:
-    """(artifact_id, names, readable) of ZIP artifacts, from the central directory alone."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("artifact_id", pa.string()), ("names", pa.list_(pa.string())), ("readable", pa.bool_())])
-        for batch in batches:
-            rows = []
-            for artifact_id, content in zip(batch["artifact_id"].to_pylist(), batch["content"]):
-                try:
-                    rows.append({"artifact_id": artifact_id, "names": open_zip(content.as_py()).namelist(), "readable": True})
-                except ContainerError:
-                    rows.append({"artifact_id": artifact_id, "names": [], "readable": False})
-            yield pa.RecordBatch.from_pylist(rows, schema)
-
-    zips = artifacts.filter(F.hex(F.substring("content", 1, 2)) == "504B").select("artifact_id", "content")
-    return zips.mapInArrow(run, "artifact_id string, names array<string>, readable boolean")

@@ -11,10 +11,11 @@ import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .containers import CompoundFile, ContainerError, local, open_zip, parse_xml, per_document, relationships
+from .containers import CompoundFile, ContainerError, _arrow, byte_bound, local, open_zip, parse_xml, read_member, relationships
 from .ids import stable
 
 UNITS = "document_id string, unit_id string, kind string, parent_id string, ordinal long, address string, text string, properties map<string,string>"
@@ -31,6 +32,8 @@ METADATA = [("docProps/core.xml", "core"), ("docProps/app.xml", "extended"), ("d
 PERSONAL = {"creator", "lastmodifiedby", "company", "manager", "author"}
 PDF_INFO = ["Title", "Author", "Subject", "Keywords", "Creator", "Producer"]
 PDF_ANNOTATIONS = {"Text", "Link", "Highlight", "Underline", "StrikeOut", "FileAttachment", "Widget"}
+#: Bytes before and after a page's mark in which its box and rotation are looked for.
+PDF_WINDOW = (4096, 8192)
 BOMS = [(b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe\x00\x00", "utf-32-le"), (b"\x00\x00\xfe\xff", "utf-32-be"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be")]
 JPEG_SIZES = set(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
 
@@ -74,7 +77,7 @@ def _flags(element, scope: str) -> dict[str, str]:
 def _metadata(units: Units, archive, names: set[str]) -> None:
     for path, namespace in METADATA:
         if path in names:
-            for i, e in enumerate(parse_xml(archive.read(path))):
+            for i, e in enumerate(parse_xml(read_member(archive, path))):
                 name, inner = local(e.tag), next(iter(e), None)
                 text = (inner.text if inner is not None else e.text) or ""
                 units.add("metadata", None, i, f"{path}#/{name}[{i + 1}]", text, seed={"index": i, "name": name, "path": path}, namespace=namespace, name=name, sensitivity="personal" if name.lower() in PERSONAL else "public")
@@ -119,12 +122,12 @@ def docx_units(document_id: str, data: bytes) -> Iterator[dict]:
     units = Units(document_id)
     main = "word/document.xml#/document/body"
     if "word/styles.xml" in names:
-        for i, e in enumerate(parse_xml(archive.read("word/styles.xml")).findall(f"{W}style")):
+        for i, e in enumerate(parse_xml(read_member(archive, "word/styles.xml")).findall(f"{W}style")):
             native = _value(e, "styleId") or f"anonymous-{i}"
             own = {k: v for c in e if local(c.tag) in ("pPr", "rPr", "tblPr", "tcPr") for k, v in _flags(c, local(c.tag).lower()).items()}
             units.add("style", None, i, f"word/styles.xml#/styles/style[{i + 1}]", _value(e.find(f"{W}name")) or native, seed={"native": native}, native=native, based_on=_value(e.find(f"{W}basedOn")), style_kind=_value(e, "type") or "unknown", **own)
     section = units.add("section", None, 0, main, seed={"ordinal": 0})
-    body = parse_xml(archive.read("word/document.xml")).find(f"{W}body")
+    body = parse_xml(read_member(archive, "word/document.xml")).find(f"{W}body")
 
     def run(element, parent: str, ordinal: int, address: str) -> str:
         look = element.find(f"{W}rPr")
@@ -170,10 +173,10 @@ def docx_units(document_id: str, data: bytes) -> Iterator[dict]:
         count += 1
     for kind, pattern in STORIES:
         for name in sorted(n for n in names if re.match(pattern, n)):
-            units.add(kind, section, len(units.rows), name, _flow_text(parse_xml(archive.read(name))), seed={"part": name})
+            units.add(kind, section, len(units.rows), name, _flow_text(parse_xml(read_member(archive, name))), seed={"part": name})
     if "word/comments.xml" in names:
         first = next((u["unit_id"] for u in units.rows if u["kind"] == "paragraph"), None)
-        for i, e in enumerate(parse_xml(archive.read("word/comments.xml")).findall(f"{W}comment")):
+        for i, e in enumerate(parse_xml(read_member(archive, "word/comments.xml")).findall(f"{W}comment")):
             units.add("annotation", first, i, f"word/comments.xml#/comments/comment[{i + 1}]", _flow_text(e), seed={"comment": _value(e, "id") or str(i)}, author=_value(e, "author"), date=_value(e, "date"))
     _metadata(units, archive, names)
     yield from units.rows
@@ -186,20 +189,20 @@ def xlsx_units(document_id: str, data: bytes) -> Iterator[dict]:
         raise ContainerError("no workbook")
     units = Units(document_id)
     if "xl/styles.xml" in names:
-        formats = parse_xml(archive.read("xl/styles.xml")).find(f"{S}cellXfs")
+        formats = parse_xml(read_member(archive, "xl/styles.xml")).find(f"{S}cellXfs")
         for i, e in enumerate(formats if formats is not None else ()):
             units.add("style", None, i, f"xl/styles.xml#/styleSheet/cellXfs/xf[{i + 1}]", seed={"cell_xf": i}, **{f"xf.{local(k)}": v for k, v in e.attrib.items()})
     shared = []
     if "xl/sharedStrings.xml" in names:
-        shared = ["".join(t.text or "" for t in e.iter() if local(t.tag) == "t") for e in parse_xml(archive.read("xl/sharedStrings.xml")).findall(f"{S}si")]
-    book = parse_xml(archive.read("xl/workbook.xml"))
+        shared = ["".join(t.text or "" for t in e.iter() if local(t.tag) == "t") for e in parse_xml(read_member(archive, "xl/sharedStrings.xml")).findall(f"{S}si")]
+    book = parse_xml(read_member(archive, "xl/workbook.xml"))
     links = relationships(archive, "xl/_rels/workbook.xml.rels")
     sheets = book.find(f"{S}sheets")
     for number, e in enumerate(sheets if sheets is not None else ()):
         path = links.get(e.get(f"{R}id", ""), (f"xl/worksheets/sheet{number + 1}.xml", "", False))[0]
         if path not in names:
             continue
-        root = parse_xml(archive.read(path))
+        root = parse_xml(read_member(archive, path))
         used = root.find(f"{S}dimension")
         sheet = units.add("worksheet", None, number, path, e.get("name", ""), seed={"ordinal": number, "path": path}, visibility=e.get("state", "visible"), used_range=used.get("ref") if used is not None else None)
         for i, c in enumerate(root.iter(f"{S}c")):
@@ -233,12 +236,12 @@ def pptx_units(document_id: str, data: bytes) -> Iterator[dict]:
         raise ContainerError("no presentation")
     units = Units(document_id)
     links = relationships(archive, "ppt/_rels/presentation.xml.rels")
-    listed = parse_xml(archive.read("ppt/presentation.xml")).find(f"{P}sldIdLst")
+    listed = parse_xml(read_member(archive, "ppt/presentation.xml")).find(f"{P}sldIdLst")
     for number, e in enumerate(listed if listed is not None else ()):
         path = links.get(e.get(f"{R}id", ""), (f"ppt/slides/slide{number + 1}.xml", "", False))[0]
         if path not in names:
             continue
-        root = parse_xml(archive.read(path))
+        root = parse_xml(read_member(archive, path))
         folder, file = path.rsplit("/", 1)
         own = relationships(archive, f"{folder}/_rels/{file}.rels")
         refs = {kind: next((t for t, how, out in own.values() if not out and how.endswith(end)), None) for kind, end in (("layout", "/slideLayout"), ("master", "/slideMaster"), ("notes", "/notesSlide"))}
@@ -268,7 +271,7 @@ def pdf_units(document_id: str, data: bytes) -> Iterator[dict]:
     ended = b"startxref" in data[-4096:] and data.rstrip().endswith(b"%%EOF")
     units.add("profile", None, 0, "pdf:profile", seed={"profile": "fixed_layout"}, repaired=str(not ended).lower(), encrypted=str(b"/Encrypt" in data).lower())
     for i, match in enumerate(re.finditer(rb"/Type\s*/Page(?!s)\b", data)):
-        near = data[max(0, match.start() - 4096) : match.end() + 8192]
+        near = data[max(0, match.start() - PDF_WINDOW[0]) : match.end() + PDF_WINDOW[1]]
         box, turn = re.search(rb"/MediaBox\s*\[\s*" + rb"\s+".join([number] * 4) + rb"\s*\]", near), re.search(rb"/Rotate\s+(-?\d+)", near)
         width, height = 612.0, 792.0
         if box:
@@ -280,7 +283,7 @@ def pdf_units(document_id: str, data: bytes) -> Iterator[dict]:
         angle = int(turn[1]) % 360 if turn else 0
         units.add("page", None, i, f"pdf:page[{i}]", seed={"ordinal": i}, width_pt=width, height_pt=height, rotation=angle if angle % 90 == 0 else 0)
     for i, name in enumerate(PDF_INFO):
-        found = re.search(rb"/" + name.encode() + rb"\s*\(([^)]*)\)", data[: 4 << 20])
+        found = re.search(rb"/" + name.encode() + rb"\s*\(([^)]*)\)", data)
         if found:
             units.add("metadata", None, i, f"pdf:info/{name}", found[1].decode("latin-1"), seed={"name": name}, namespace="pdf.info", name=name.lower(), sensitivity="personal" if name == "Author" else "public")
     for i, kind in enumerate(re.findall(rb"/Subtype\s*/([A-Za-z0-9]+)", data)):
@@ -376,19 +379,45 @@ def ole_units(document_id: str, data: bytes) -> Iterator[dict]:
 DECODERS = {"txt": text_units, "docx": docx_units, "xlsx": xlsx_units, "pptx": pptx_units, "pdf": pdf_units, "raster": raster_units, "ole": ole_units}
 
 
-def decode(artifacts: DataFrame, formats: DataFrame) -> DataFrame:
-    """Units of all artifacts; ``formats(artifact_id, format_name, family)`` comes from the probe.
+#: Kind of the row that stands for a document whose decoder refused or failed; its text says why.
+FAILURE = "failure"
+
+
+def decoded(decoder: str, document_id: str, content: bytes) -> list[dict]:
+    """All units of a document, or one row of kind FAILURE: a hostile document never stops the job."""
+    try:
+        return list(DECODERS[decoder](document_id, content))
+    except Exception as error:  # noqa: BLE001  whatever a damaged file makes a parser raise
+        reason = str(error) if isinstance(error, ContainerError) else f"{type(error).__name__}: {error}"
+        return [{"document_id": document_id, "unit_id": stable("failure", document_id=document_id), "kind": FAILURE, "parent_id": None, "ordinal": 0, "address": decoder, "text": reason[:1000], "properties": {"code": "DS-DEC-001"}}]
+
+
+def attempts(artifacts: DataFrame, formats: DataFrame) -> DataFrame:
+    """Units of all artifacts and the failures among them, in one pass over the contents.
 
-    Documents that their decoder refuses give no units; ``failures`` names them.
+    ``formats(artifact_id, format_name, family)`` comes from the probe; formats without decoder give no rows.
     """
-    rows = artifacts.join(formats.select("artifact_id", "format_name", "family"), "artifact_id").withColumn("decoder", F.when(F.col("family") == "raster", "raster").otherwise(F.col("format_name")))
-    out = None
-    for name, function in DECODERS.items():
-        part = per_document(rows.filter(F.col("decoder") == name), function, UNITS)
-        out = part if out is None else out.unionByName(part)
-    return out
+    chosen = F.when(F.col("family") == "raster", "raster").otherwise(F.col("format_name"))
+    named = formats.select("artifact_id", chosen.alias("decoder")).filter(F.col("decoder").isin(*DECODERS))
+    rows = artifacts.join(named, "artifact_id").select("document_id", "decoder", "content")
+    byte_bound(artifacts)
+    arrow = _arrow(UNITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for document_id, decoder, content in zip(batch["document_id"].to_pylist(), batch["decoder"].to_pylist(), batch["content"]):
+                units = decoded(decoder, document_id, content.as_py() or b"")
+                for a in range(0, len(units), 2000):
+                    yield pa.RecordBatch.from_pylist(units[a : a + 2000], arrow)
+
+    return rows.mapInArrow(run, UNITS)
+
+
+def decode(artifacts: DataFrame, formats: DataFrame) -> DataFrame:
+    """Units of all artifacts that their decoder accepts."""
+    return attempts(artifacts, formats).filter(F.col("kind") != FAILURE)
 
 
-def failures(artifacts: DataFrame, units: DataFrame) -> DataFrame:
-    """(artifact_id, code) of documents without units."""
-    return artifacts.filter("size_bytes > 0").join(units.select("document_id").distinct(), "document_id", "left_anti").select("artifact_id", F.lit("DS-DEC-001").alias("code"))
+def failures(tried: DataFrame) -> DataFrame:
+    """(document_id, code, decoder, reason) of the failures among ``attempts``."""
+    return tried.filter(F.col("kind") == FAILURE).select("document_id", F.element_at("properties", "code").alias("code"), F.col("address").alias("decoder"), F.col("text").alias("reason"))

@@ -22,7 +22,7 @@ class RequestError(ValueError):
 
 def for_path(path: str) -> dict:
     """A request for one file or folder with the default policies."""
-    return {"sources": [{"locator_id": stable("locator", path=path), "kind": "local_file", "role": "primary", "uri": path}], "rendering_policy": {"mode": "required", "profiles": []}, "security_policy": {"network": "deny", "encryption": "secret"}, "resource_budget": dict(BUDGET)}
+    return {"sources": [{"locator_id": stable("locator", path=path), "kind": "local_file", "role": "primary", "uri": path}], "rendering_policy": {"mode": "none", "profiles": []}, "security_policy": {"network": "deny", "encryption": "secret"}, "resource_budget": dict(BUDGET)}
 
 
 def normalized(request: dict) -> dict:
@@ -55,7 +55,7 @@ def normalized(request: dict) -> dict:
     budget = BUDGET | (body.get("resource_budget") or {})
     if any(v < 0 for v in budget.values()):
         raise RequestError("DS-REQ-001", "budgets aren't negative")
-    rendering = {"mode": "required", "profiles": []} | (body.get("rendering_policy") or {})
+    rendering = {"mode": "none", "profiles": []} | (body.get("rendering_policy") or {})
     if rendering["mode"] not in ("none", "on_demand", "required") or (rendering["mode"] == "none" and rendering["profiles"]):
         raise RequestError("DS-REQ-001", "no profiles without rendering")
     body |= {"sources": out, "resource_budget": budget, "rendering_policy": rendering}

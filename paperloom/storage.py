@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("a cluster needs spark.checkpoint.dir: executors don't share the driver's folders")
         base = f"file://{tempfile.mkdtemp(prefix='paperloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -26,3 +28,22 @@ def kept(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/paperloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def promoted(df: DataFrame, path: str) -> None:
+    """Writes ``df`` beside ``path`` and gives it that name in one step; what was there before comes back if that fails."""
+    spark = df.sparkSession
+    staging, backup = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    df.write.parquet(staging)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = files.exists(target)
+    if had and not files.rename(target, hadoop(backup)):
+        raise OSError(f"{path} can't be set aside")
+    if not files.rename(hadoop(staging), target):
+        if had:
+            files.rename(hadoop(backup), target)
+        raise OSError(f"{path} can't be replaced")
+    if had:
+        files.delete(hadoop(backup), True)

@@ -1,3 +1,6 @@
+import io
+import random
+import struct
 import zipfile
 
 import pytest
@@ -96,9 +99,62 @@ def test_probe(bundle):
     assert names["l.pdf"].extension_mismatch and not names["b.docx"].extension_mismatch and names["e.pdf"].media_type == "application/pdf" and names["m.docx"].readable is False
 
 
-def test_other_encodings():
-    assert probe.guessed_confidence("text é\n".encode("utf-16")) == 0.98 and probe.guessed_confidence(("text" * 9).encode("utf-16-le")) == 0.85
-    assert probe.guessed_confidence("caf\u00e9 au lait".encode("latin-1")) == 0.70 and probe.guessed_confidence(bytes([0, 255, 1, 2]) * 100) == 0.0
+def test_other_encodings(spark):
+    files = {"a.txt": "text é\n".encode("utf-16"), "b.txt": ("text" * 9).encode("utf-16-le"), "c.txt": "caf\u00e9 au lait".encode("latin-1"), "d.txt": bytes([0, 255, 1, 2]) * 100, "e.txt": b"\xff\xfe\x00", "f.txt": "x".encode("utf-32"), "g.txt": b"\xe9\x01\x02", "h.txt": b""}
+    bundle = acquire.injected(spark, files)
+    got = {r.display_name: r for r in bundle.select("artifact_id", "display_name").join(probe.probe(bundle).drop("display_name"), "artifact_id").collect()}
+    assert {n: (r.format_name, r.confidence) for n, r in got.items()} == {
+        "a.txt": ("txt", 0.98), "b.txt": ("txt", 0.85), "c.txt": ("txt", 0.70), "d.txt": ("unknown_binary", 1.0), "e.txt": ("unknown_binary", 1.0), "f.txt": ("txt", 0.98), "g.txt": ("unknown_binary", 1.0), "h.txt": ("txt", 1.0)
+    }
+
+
+MADE = {"docx": lambda: formats.docx("one\ntwo", "me"), "xlsx": lambda: formats.xlsx([("A1", "x"), ("B2", "y")], "SUM(B2:B3)"), "pptx": lambda: formats.pptx(["hello", "bye"]), "ole": lambda: formats.compound(b"stream data"), "pdf": lambda: formats.pdf(2, 595, 842, 90, "T"), "raster": lambda: formats.raster("tiff", 2, 3, 2)}
+
+
+@pytest.mark.parametrize("name", sorted(MADE))
+def test_damaged_files_give_units_or_one_failure(name):
+    rng, whole, failed = random.Random(name), MADE[name](), 0
+    for _ in range(400):
+        data = bytearray(whole)
+        for _ in range(rng.randint(1, 6)):
+            data[rng.randrange(len(data))] = rng.randrange(256)
+        if rng.random() < 0.3:
+            del data[rng.randrange(len(data)) :]
+        rows = native.decoded(name, "d", bytes(data))
+        kinds = {r["kind"] for r in rows}
+        assert native.FAILURE not in kinds or len(rows) == 1
+        failed += native.FAILURE in kinds
+        for read in (containers.archive_members, containers.zip_relationships):
+            try:
+                assert all(r["document_id"] == "d" for r in read("d", bytes(data)))
+            except (containers.ContainerError, struct.error):
+                pass
+    assert name == "pdf" or failed > 20
+
+
+def _encrypted(data: bytes) -> bytes:
+    """The package with every member marked as encrypted, in both headers."""
+    data = bytearray(data)
+    for mark, at in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):
+        place = data.find(mark)
+        while place >= 0:
+            data[place + at] |= 1
+            place = data.find(mark, place + 4)
+    return bytes(data)
+
+
+def test_damaged_packages_do_not_stop_the_job(spark):
+    good = formats.docx("x")
+    at = zipfile.ZipFile(io.BytesIO(good)).getinfo("word/document.xml").header_offset + 30 + len("word/document.xml") + 10
+    files = {"good.docx": good, "crc.docx": good[:at] + bytes([good[at] ^ 255]) + good[at + 1 :], "cut.docx": good[: len(good) // 2], "locked.docx": _encrypted(good), "types.docx": formats.package({"[Content_Types].xml": "<broken", "word/document.xml": "<x/>"})}
+    t = ingest.plan(acquire.injected(spark, files))
+    names = {r.document_id: r.display_name for r in t["artifacts"].select("document_id", "display_name").collect()}
+    failures = {names[r.document_id]: r.code for r in t["decode_failures"].collect()}
+    assert failures == {"crc.docx": "DS-DEC-001", "types.docx": "DS-DEC-001"} or failures == {"crc.docx": "DS-DEC-001"}
+    status = {names[r.document_id]: r.status for r in t["statuses"].collect()}
+    assert status["cut.docx"] == "rejected" and status["crc.docx"] in ("review", "error") and set(status) == set(files)
+    states = {(names[r.document_id], r.path): r.read_state for r in t["members"].collect()}
+    assert states["crc.docx", "word/document.xml"] == "failed" and states["locked.docx", "word/document.xml"] == "blocked"
 
 
 def test_access(spark):
