@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A tile's rows, columns and characters of a cell --------------------------------------------------------
@@ -57,3 +57,9 @@ def clipped(cells: DataFrame, most: int = 10) -> DataFrame:
     long = F.length("value") > most
     shown = F.when(long, F.concat(F.substring("value", 1, most - 1), F.lit("…"))).otherwise(F.col("value"))
     return cells.withColumn("shown", shown).withColumn("is_clipped", F.coalesce(long, F.lit(False)))
+
+
+def row_major(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``slot``: a cell's place among those of its sheet, row by row, then by column and id."""
+    order = Window.partitionBy(*keys).orderBy("row", "column", "cell_id")
+    return cells.withColumn("slot", (F.row_number().over(order) - 1).cast("long"))

@@ -784,7 +784,7 @@ def undeclared_files(spark, sf_dir):
 
 @query("""SELECT o_orderkey, rule, level FROM (SELECT o_orderkey, unnest([CASE WHEN o_totalprice < 1000 THEN 'price' END, CASE WHEN o_orderstatus NOT IN ('O', 'F') THEN 'status' END, CASE WHEN o_orderpriority LIKE '1%' THEN 'urgent' END]) AS rule, unnest(['error', 'warning', 'info']) AS level FROM orders) WHERE rule IS NOT NULL""")
 def draft_checks(spark, sf_dir):
-    """Rule tables evaluated in one pass."""
+    """A table of rules evaluated in one pass over the rows (the rules of runs and packages are in ``rules``)."""
     rules = [("price", F.col("o_totalprice") < 1000, "error"), ("status", ~F.col("o_orderstatus").isin("O", "F"), "warning"), ("urgent", F.col("o_orderpriority").startswith("1"), "info")]
     return validate.checks(table(spark, sf_dir, "orders"), "o_orderkey", rules)
 
