@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import unicodedata
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import let
@@ -18,10 +22,10 @@ CELL_REFERENCE = r"(?:'[^']+'!)?\$?[A-Z]{1,3}\$?[1-9][0-9]*"
 CANONICAL_NAME = r"^[a-z][a-z0-9_.:-]{1,200}$"
 
 
-def property_name(name: Column) -> Column:
-    """Canonical form of a native property name (ASCII names; others need ``unicode_property_name`` first).
+def property_name(name: Column, native: Column | None = None) -> Column:
+    """Canonical form of a property name; ``native`` is how it was written, where that isn't ``name`` itself.
 
-    Namespaces in braces go, camel case is split, everything else but ``a-z0-9_.:-`` becomes one underscore, and a
+    Names outside ASCII need their compatible form first: see ``property_names``. Namespaces in braces go, camel case is split, everything else but ``a-z0-9_.:-`` becomes one underscore, and a
     name of more than 201 characters is cut and gets a hash of the native name.
     """
     x = F.regexp_replace(name, r"\{[^}]+\}", "")
@@ -38,13 +42,29 @@ def property_name(name: Column) -> Column:
         return F.when(F.length(x) < 2, F.concat(x, F.lit("_value"))).otherwise(x)
 
     def cut(x: Column) -> Column:
-        short = F.concat(F.rtrim(F.substring(x, 1, 188), F.lit("_.:-")), F.lit("_"), F.substring(F.sha2(F.encode(name, "UTF-8"), 256), 1, 12))
+        short = F.concat(F.rtrim(F.substring(x, 1, 188), F.lit("_.:-")), F.lit("_"), F.substring(F.sha2(F.encode(name if native is None else native, "UTF-8"), 256), 1, 12))
         return F.when(F.length(x) > 201, short).otherwise(x)
 
     x = let(let(let(x, led), filled), cut)
     return F.when(name.rlike(CANONICAL_NAME), name).otherwise(x)
 
 
+def property_names(rows: DataFrame, column: str, to: str) -> DataFrame:
+    """``rows`` with the canonical form of the names in ``column`` as ``to``.
+
+    Only distinct names outside ASCII go to Python, which gives their compatible form (NFKC); they are few.
+    """
+
+    def compatible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = pa.array([unicodedata.normalize("NFKC", x) for x in batch["written"].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch["written"], forms], names=["written", "compatible"])
+
+    odd = rows.select(F.col(column).alias("written")).filter(F.length("written") != F.octet_length("written")).distinct()
+    named = rows.join(odd.mapInArrow(compatible, "written string, compatible string"), F.col(column) == F.col("written"), "left")
+    return named.withColumn(to, property_name(F.coalesce("compatible", column), F.col(column))).drop("written", "compatible")
+
+
 def a1_column(address: Column) -> Column:
     """Column number (1 for A) of a cell address, base 26."""
     letters = F.upper(F.regexp_extract(address, r"^\$?([A-Za-z]+)", 1))

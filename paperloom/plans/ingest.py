@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import storage
 from ..functions.identity import bundle_hash, canonical_json, stable_id
 from ..functions.ranks import EXACTNESS, rank, state_of
-from ..functions.scalar import normal_part_path
+from ..functions.scalar import normal_part_path, property_names
 from ..operators import graph, ir, mapping, package, parts, quality, security, surfaces, validate
 from ..sources import access, acquire, containers, native, probe
 from ..sources.ids import content_hash
@@ -139,6 +139,13 @@ KINDS = {"line": "text_line", "run": "text_span", "row": "table_row", "section":
 PROTECTED = ["formula", "revision", "transition", "animation", "frame", "storage", "stream", "annotation", "style", "metadata"]
 
 
+def metadata(t: Tables, policy: Policy) -> DataFrame:
+    """(document_id, unit_id, namespace, name, canonical_name, value, sensitivity) of all metadata."""
+    of = lambda name: F.element_at("properties", F.lit(name))
+    rows = t["native_units"].filter("kind = 'metadata'").select("document_id", "unit_id", of("namespace").alias("namespace"), of("name").alias("name"), F.col("text").alias("value"), of("sensitivity").alias("sensitivity"))
+    return property_names(rows, "name", "canonical_name")
+
+
 def ir_units(t: Tables, policy: Policy) -> DataFrame:
     """The uniform tree: native units below the document's root, then relationships and resources in that order.
 
@@ -374,7 +381,7 @@ def package_report(t: Tables, policy: Policy) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[Tables, Policy], DataFrame]]] = [
     ("documents", documents), ("members", members), ("part_relationships", part_relationships), ("security_findings", security_findings), ("restrictions", restrictions), ("decisions", decisions), ("identity", identity), ("access_states", access_states),
-    ("decode_attempts", decode_attempts), ("native_units", native_units), ("decode_failures", decode_failures), ("resources", resources), ("occurrences", occurrences), ("styles", styles), ("ir_units", ir_units), ("ir_warnings", ir_warnings),
+    ("decode_attempts", decode_attempts), ("native_units", native_units), ("decode_failures", decode_failures), ("resources", resources), ("occurrences", occurrences), ("styles", styles), ("metadata", metadata), ("ir_units", ir_units), ("ir_warnings", ir_warnings),
     ("marks", marks), ("surfaces", surface_table), ("spaces", lambda t, p: surfaces.spaces(t["surfaces"])), ("geometry", lambda t, p: surfaces.geometry(t["marks"])),
     ("assets", lambda t, p: surfaces.assets(surfaces.svg(t["marks"], t["surfaces"]), t["surfaces"], t["artifacts"])), ("visibility", lambda t, p: surfaces.visibility(t["marks"], t["native_units"])), ("views", views),
     ("entities", entities), ("edges", edges), ("edge_failures", edge_failures), ("coverage", coverage), ("losses", losses), ("scores", scores), ("transitions", transitions), ("quality_failures", quality_failures), ("errors", errors), ("contract_failures", contract_failures), ("checks", checks),

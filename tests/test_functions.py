@@ -97,3 +97,20 @@ def test_pages(spark):
 def test_rendering_rules(spark):
     rows = spark.createDataFrame([("s", ["a"], ["a", "b"], ["c"], ["a"])], "surface_id string, serialized array<string>, visible array<string>, clipped array<string>, omitted array<string>")
     assert {r.rule for r in validate.rendering_failures(rows).collect()} == {"visible_not_serialized", "clipped_not_visible", "omitted_serialized"}
+
+
+def test_names_outside_ascii(spark):
+    rows = spark.createDataFrame([("ﬁleName",), ("Ｗidth",), ("docProps",), ("é",), ("x" * 300 + "é",)], "name string")
+    got = {r.name: r.canonical for r in scalar.property_names(rows, "name", "canonical").collect()}
+    assert (got["ﬁleName"], got["Ｗidth"], got["docProps"], got["é"]) == ("file_name", "width", "doc_props", "property_unknown")
+    assert len(got["x" * 300 + "é"]) <= 201
+
+
+def test_pointer_jumping(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1000)] + [(2000, 2001), (2001, 2000), (2002, 2000)], "node long, parent long")
+    values = spark.createDataFrame([(1000, "a", "top"), (500, "a", "middle"), (700, "b", "late"), (2001, "a", "round")], "node long, name string, value string")
+    got = {(r.node, r.name): r.value for r in graph.inherited(values, edges).collect()}
+    assert got == {**{(i, "a"): "middle" for i in range(501)}, **{(i, "a"): "top" for i in range(501, 1001)}, **{(i, "b"): "late" for i in range(701)}, (2000, "a"): "round", (2001, "a"): "round", (2002, "a"): "round"}
+    assert {r.node for r in graph.on_cycles(edges).collect()} == {2000, 2001}
+    many = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "a"), ("x", "y"), ("y", "z")], "node string, parent string")
+    assert {(r.node, r.parent) for r in graph.cyclic_core(many).collect()} == {("a", "b"), ("b", "c"), ("c", "a")}
