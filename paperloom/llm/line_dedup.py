@@ -1,10 +1,11 @@
 """Line dedup by levelled sorted runs of line hashes.
 
-A run is a table of (line hash, documents holding the line, largest document) sorted by hash within its partitions.
-Batches of documents come in descending order of ``doc_id``. A batch's line hashes are aggregated, anti-joined with
-the keys that the runs have settled (held by ``min_documents`` or more already: later batches can change neither
-their fate nor the document that keeps them), and the rest becomes a run of level 0. When a level holds ``FANOUT``
-runs, they are merged into one run of the next level. After the last batch, the merged runs say which lines go.
+A run is a table of (line hash, documents holding the line, largest document), dealt by hash into buckets and sorted
+in each, so that Spark merges it with others without shuffling or searching. Batches of documents come in descending
+order of ``doc_id``. A batch's line hashes are aggregated, merge-anti-joined with the keys that the runs have settled
+(held by ``min_documents`` or more already: later batches can change neither their fate nor the document that keeps
+them), and the rest becomes a run of level 0. When a level holds ``FANOUT`` runs, they are merged into one run of the
+next level, which later batches meet. After the last batch, the merged runs say which lines go.
 
 Only DataFrame functions are used. A line is known by a 128-bit hash. Hot lines are pre-aggregated per task, and the
 lines that must go are found by a join whose large partitions Spark splits; the lists that are collected hold the
@@ -26,8 +27,10 @@ WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_LENGTH = 20
 MIN_DOCUMENTS = 3
-#: Batches that a whole table is dealt into, and runs of a level that are merged into one.
-BATCHES = 4
+#: Documents of a batch; a table is dealt into LEAST_BATCHES batches at least, so that compacted runs meet batches.
+BATCH_DOCUMENTS = 50_000_000
+LEAST_BATCHES = 6
+#: Runs of a level that are merged into one.
 FANOUT = 4
 
 
@@ -55,26 +58,26 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, min_documents: int = MIN_DOCUMENTS, fanout: int = FANOUT):
         self.spark, self.min_documents, self.fanout = spark, min_documents, fanout
-        self.levels: list[list[DataFrame]] = []
+        self.levels: list[list[tuple[DataFrame, DataFrame]]] = []  # each run in buckets, and plain
 
-    def _runs(self) -> list[DataFrame]:
+    def _runs(self) -> list[tuple[DataFrame, DataFrame]]:
         return [run for level in self.levels for run in level]
 
-    def _write(self, rows: DataFrame) -> DataFrame:
-        return storage.staged(rows.sortWithinPartitions("h1", "h2"), "line-run")
+    def _write(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return storage.bucketed(rows, "line-run", ["h1", "h2"])
 
     @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
+    def _merged(runs: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+        rows = runs[0][1]
+        for _, run in runs[1:]:
             rows = rows.unionByName(run)
         return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
     def add(self, hashed: DataFrame) -> None:
         line = F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h")
         new = hashed.select("doc_id", line).groupBy("h.h1", "h.h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
-        for run in self._runs():
-            new = new.join(run.filter(F.col("n_docs") >= self.min_documents).select("h1", "h2"), ["h1", "h2"], "left_anti")
+        for run, _ in self._runs():
+            new = new.join(run.filter(F.col("n_docs") >= self.min_documents).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
         if not self.levels:
             self.levels.append([])
         self.levels[0].append(self._write(new))
@@ -89,12 +92,14 @@ class LineRuns:
     def frequent(self) -> DataFrame:
         """(h1, h2, last_doc) of the lines held by enough documents."""
         runs = self._runs()
-        rows = runs[0] if len(runs) == 1 else self._merged(runs)
+        rows = runs[0][1] if len(runs) == 1 else self._merged(runs)
         return rows.filter(F.col("n_docs") >= self.min_documents).select("h1", "h2", "last_doc")
 
 
-def batches(hashed: DataFrame, n: int = BATCHES) -> list[DataFrame]:
-    """The documents in n batches of about equal size, ids descending; null ids come last."""
+def batches(hashed: DataFrame, n: int | None = None) -> list[DataFrame]:
+    """The documents in n batches of about equal size, ids descending; null ids come last. n follows their number."""
+    if n is None:
+        n = max(LEAST_BATCHES, -(-hashed.count() // BATCH_DOCUMENTS))
     cuts = hashed.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.02)
     cuts = sorted({int(c) for c in cuts}, reverse=True)
     if not cuts:
@@ -118,14 +123,14 @@ def dedup(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MI
     own = docs.drop("kept_text", "n_lines", "n_dropped", "row_hash", "line_doc", "dropped_lines")
     hidden = [c for c in docs.columns if c in ("row_hash", "line_doc", "dropped_lines")]
     text = storage.text_or_empty()
-    keyed = docs.select(F.xxhash64("doc_id", text).alias("row_hash"), F.col("doc_id").cast("long").alias("line_key"), F.struct(*[F.col(c) for c in [*own.columns, *hidden]]).alias("own"))
+    keyed = docs.select(F.xxhash64("doc_id", text).alias("row_hash"), F.col("doc_id").cast("long").alias("line_key"), F.struct(*[F.col(c) for c in [*own.columns, *hidden]]).alias("kept_row"))
     joined = keyed.join(dropped, (keyed.row_hash == dropped.row_hash) & keyed.line_key.eqNullSafe(dropped.line_doc), "left")
-    lines = F.split(F.coalesce(F.col("own.text"), F.lit("")), "\n", -1)
+    lines = F.split(F.coalesce(F.col("kept_row.text"), F.lit("")), "\n", -1)
     n_lines = F.size(lines).cast("long")
-    kept = F.when(F.col("dropped_lines").isNull(), F.coalesce(F.col("own.text"), F.lit(""))).otherwise(
+    kept = F.when(F.col("dropped_lines").isNull(), F.coalesce(F.col("kept_row.text"), F.lit(""))).otherwise(
         F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped_lines")), lambda i: F.get(lines, i)), "\n")
     )
-    return joined.select(*[F.col(f"own.`{c}`").alias(c) for c in [*own.columns, *hidden]], kept.alias("kept_text"), n_lines.alias("n_lines"), F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("long").alias("n_dropped"))
+    return joined.select(*[F.col(f"kept_row.`{c}`").alias(c) for c in [*own.columns, *hidden]], kept.alias("kept_text"), n_lines.alias("n_lines"), F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

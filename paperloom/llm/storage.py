@@ -21,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The session's shared folder; set only where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
+    if not base and not current and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("a cluster needs spark.checkpoint.dir: executors don't share the driver's folders")
     if not base:
         base = current or f"file://{tempfile.mkdtemp(prefix='paperloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
@@ -34,12 +36,40 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/paperloom/{name}-{uuid.uuid4().hex}"
 
 
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and where it lies."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later plans start there, and lost executors lose nothing."""
+    return staged_at(df, name)[0]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a path; nothing may read it any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bucketed(df: DataFrame, name: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` as a table dealt by its keys into as many buckets as a shuffle has partitions, a sorted file in each.
+
+    The first frame is for joins on these keys, which read it without a shuffle; the second reads the same files as a
+    plain table, for all else (unions of bucketed tables aren't partitioned as Spark 4.1 believes). The files lie in
+    the shared folder; the catalog knows the table no longer than it takes to open it.
+    """
     spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"paperloom_{uuid.uuid4().hex}"
     path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    opened = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # external: the files stay
+    return opened, spark.read.schema(opened.schema).parquet(path)
 
 
 #: Bytes of one batch of rows between the JVM and Python; long texts make batches of fewer rows.
@@ -118,5 +148,4 @@ def text_or_empty(column: str = "text"):
 
 def discard(spark: SparkSession) -> None:
     """Deletes everything that this package keeps in the shared folder; results that still read it must be written first."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/paperloom")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, f"{shared_dir(spark)}/paperloom")

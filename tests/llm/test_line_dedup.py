@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 
 from paperloom.llm import line_dedup, storage
 
@@ -62,3 +63,19 @@ def test_runs_are_merged_by_level(spark, frame):
         runs.add(line_dedup.line_hashes(docs))
     assert [len(level) for level in runs.levels] == [0, 0, 1]
     assert [r.last_doc for r in runs.frequent().collect()] == [41]
+
+
+def test_runs_merge_without_shuffle_and_compacted_ones_meet_batches(spark, frame):
+    rows = [(i, f"a line that many hold {i % 7} of them\nand a line of its own, number {i}") for i in range(60)]
+    hashed = line_dedup.line_hashes(frame(rows, "doc_id long, text string"))
+    runs, met = line_dedup.LineRuns(spark, fanout=2), []
+    for batch in line_dedup.batches(hashed):
+        met.append([len(level) for level in runs.levels])
+        runs.add(batch)
+    assert len(met) == line_dedup.LEAST_BATCHES and any(sum(levels[1:]) for levels in met)
+    run = runs._runs()[0][0]
+    new = hashed.select("doc_id", F.explode("hashes").alias("h")).groupBy("h.h1", "h.h2").agg(F.count("*").alias("n"))
+    plan = new.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("SortMergeJoin") :].rsplit("+-", 1)
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan, scan
+    assert {r.last_doc for r in runs.frequent().collect()} == set(range(53, 60))
