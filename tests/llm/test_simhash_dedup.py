@@ -109,3 +109,34 @@ def test_repeats_within_a_copy(frame):
     assert (fps[0] ^ fps[1]).bit_count() > 19
     got = [r.doc_id for r in simhash_dedup.distinct_documents(frame(rows, "doc_id long, text string")).collect()]
     assert got == [1]
+
+
+@pytest.mark.parametrize("replaced", [4, 5])
+def test_every_link_of_many_edits_is_found(frame, replaced):
+    rng = random.Random(replaced)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        for place in rng.sample(range(300), replaced):
+            own[place] = f"e{rng.randrange(10**9)}"
+        rows.append((i, " ".join(own)))
+    sets = [shingles(t) for _, t in rows]
+    groups = {r.doc_id: r.component for r in simhash_dedup.grouped(frame(rows, "doc_id long, text string")).collect()}
+    links = [(a, b) for a in range(400) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert links and all(groups[a] == groups[b] for a, b in links), sum(groups[a] != groups[b] for a, b in links)
+
+
+@pytest.mark.parametrize("words", [6, 9, 14, 24, 60])
+def test_short_texts_at_the_threshold(frame, words):
+    """Bags hold all shingles of a small set, so that two sets at the threshold always share a bag."""
+    rng, rows = random.Random(words), []
+    for _ in range(150):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+        rows.append((len(rows), " ".join(base)))
+        rows.append((len(rows), " ".join([*base, *(f"t{rng.randrange(10**6)}" for _ in range(max(1, (words - 4) // 5)))])))
+    sets = [shingles(t) for _, t in rows]
+    like = [(a, a + 1) for a in range(0, len(rows), 2) if len(sets[a] & sets[a + 1]) >= 0.8 * len(sets[a] | sets[a + 1])]
+    groups = {r.doc_id: r.component for r in simhash_dedup.grouped(frame(rows, "doc_id long, text string")).collect()}
+    missed = [x for x in like if groups[x[0]] != groups[x[1]]]
+    assert not missed, (len(missed), len(like))
