@@ -35,10 +35,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges(u, v)``; the component is its smallest node."""
     oriented = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = storage.staged(oriented, "edges")
+    spark = edges.sparkSession
+    now, path = storage.staged_at(oriented, "edges")
     before, state = None, _state(now)
     while state != before and state[0]:
-        now = storage.staged(_small_star(_large_star(now)), "edges")
+        old = path
+        now, path = storage.staged_at(_small_star(_large_star(now)), "edges")
         before, state = state, _state(now)
+        storage.delete(spark, old)
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

@@ -16,8 +16,8 @@ remaining bits, so every fingerprint is listed under those (22 at most, and itse
 Components are those of all links; the smallest ``doc_id`` names them.
 
 Nulls and odd rows: a null, empty or blank text has fingerprint zero and is linked like any other. A row of null
-``doc_id`` belongs to its component but never names it, unless the component has no ids at all (then it is null). Ids
-are below 2**62. Repeated rows are kept. An empty table gives no rows. Extra columns are ignored.
+``doc_id`` belongs to its component but never names it, unless the component has no ids at all (then it is null).
+Any 64-bit number may be an id. Repeated rows are kept. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,8 +38,6 @@ RADIUS = 2
 SEGMENTS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 #: A key with more fingerprints is handled by shared neighbours instead of pairs.
 PAIRED = 32
-#: Node numbers of fingerprints that only rows without id have.
-NO_ID = 1 << 62
 
 
 def _signed(x: int) -> int:
@@ -132,12 +130,11 @@ def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id) of every document."""
     rows = storage.staged(fingerprints(docs, shingle), "fingerprints")
-    surrogate = F.lit(NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(NO_ID))
-    nodes = storage.staged(rows.groupBy("fp").agg(F.min("doc_id").alias("node")).select("fp", F.coalesce("node", surrogate).alias("node")), "simhash-nodes")
-    parts = connected_components(links(nodes))
-    named = nodes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    named = named.select("fp", F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"))
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    nodes = storage.staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    parts = connected_components(links(nodes.select(F.col("fp").alias("node"), "fp")))
+    placed = nodes.join(parts, nodes.fp == parts.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    return rows.join(placed.join(names, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

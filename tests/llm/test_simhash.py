@@ -82,3 +82,10 @@ def test_components(spark, frame):
     want = closure(pairs, {x for p in pairs for x in p})
     assert got == {n: c for n, c in want.items() if n in got} and all(want[n] == n for n in want if n not in got)
     assert components.connected_components(frame([], "u long, v long")).count() == 0
+
+
+def test_any_number_may_be_an_id(frame):
+    big = (1 << 63) - 5
+    rows = [(big, "one two three four"), (big - 9, "one two three four"), (None, "alone without id"), (-(1 << 63), "something else entirely here"), (1 << 62, "yet another text of words")]
+    got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got == {(big, big - 9), (big - 9, big - 9), (None, None), (-(1 << 63), -(1 << 63)), (1 << 62, 1 << 62)}
