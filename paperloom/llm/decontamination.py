@@ -11,8 +11,8 @@ all their shingles, and never need a sketch of their own, whose resemblance to a
 length. Verification: the documents of the candidate pairs are read again, and the items' shingles, as text, are
 counted in them.
 
-Only DataFrame functions are used. The sketches are broadcast only while their number is at most ``BROADCAST_ROWS``;
-beyond it they are joined by shuffle.
+Only DataFrame functions are used. The sketches, and the items' shingles, are broadcast only while they take at most
+``BROADCAST_BYTES``; beyond that they are joined by shuffle.
 
 Nulls and odd rows: null texts hold no shingles. Rows of null ids are compared like any other. Rows are documents;
 equal rows give equal results, once. Items of equal text are separate items. Empty tables give no rows. Extra columns
@@ -28,8 +28,9 @@ from . import storage
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-#: Sketch rows, of about 50 bytes each, up to which they are broadcast.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of sketches, or of the items' shingles as text, up to which they are broadcast, and what a row takes besides.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 48
 
 
 def word_list(text: Column) -> Column:
@@ -52,8 +53,12 @@ def _hash(parts: list[Column]) -> Column:
 
 
 def _sized(df: DataFrame) -> DataFrame:
-    """The frame, marked for broadcast if it is small enough."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """The frame, marked for broadcast if its rows are few enough in bytes."""
+    width = F.lit(ROW_BYTES)
+    for name, kind in df.dtypes:
+        width = width + (F.coalesce(F.octet_length(name), F.lit(0)) if kind == "string" else F.lit(8))
+    total = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def sketches(items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:

@@ -42,8 +42,8 @@ def test_partial_copies_in_long_texts(spark, frame, monkeypatch):
     d = frame(docs, "doc_id long, text string").selectExpr("*", "'x' AS words", "1 AS row_hash", "2 AS sketch")
     b = frame(items, "item_id long, text string").selectExpr("*", "3 AS n")
     want = brute(docs, items)
-    for rows in (decontamination.BROADCAST_ROWS, 0):
-        monkeypatch.setattr(decontamination, "BROADCAST_ROWS", rows)
+    for rows in (decontamination.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_BYTES", rows)
         got = decontamination.contained(d, b).collect()
         assert {(r.doc_id, r.item_id, r.n_shingles, r.n_matched) for r in got} == want
     kept = decontamination.clean(d, b)
