@@ -54,6 +54,11 @@ BUCKET_BYTES = 24 << 20
 #: Contexts under one anchor that stay together, and bytes of a shard.
 GROUP = 1024
 SHARD_BYTES = 1 << 19
+#: Key ranges of the merge, as a power of two, for tables of up to RANGED_BYTES; larger tables get more in proportion.
+RANGE_BITS = 12
+RANGED_BYTES = 64 << 30
+#: Bytes of texts per partition of the later shuffles, where the session's own number would give larger ones.
+PARTITION_BYTES = 256 << 20
 NO_ID = -(1 << 63)
 
 _TABLE = np.random.default_rng(1909).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -421,7 +426,7 @@ def _string_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return _mix(a * _A[3] + b), _mix(b * _A[4] + _mix(a * _A[5]))
 
 
-def _shard(rows: list[pa.RecordBatch]) -> Iterator[tuple]:
+def _shard(rows: list[pa.RecordBatch], bits: int = RANGE_BITS) -> Iterator[tuple]:
     """Messages of one shard: spans of strings with an earlier copy in it; the distinct strings of dealt-out anchors."""
     table = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
     ids, file, block, row, start, salt = (table[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "file", "block", "row", "start", "salt"))
@@ -461,19 +466,19 @@ def _shard(rows: list[pa.RecordBatch]) -> Iterator[tuple]:
         k1, k2 = _string_keys(data, keep)
         by = np.lexsort((k2, k1))
         keep, k1, k2 = keep[by], k1[by], k2[by]
-        ranges = (k1 >> np.uint64(52)).astype(np.int64)
+        ranges = (k1 >> np.uint64(64 - bits)).astype(np.int64)
         for own in np.split(np.arange(len(keep)), np.flatnonzero(np.diff(ranges)) + 1):
             p = keep[own]
             yield "strings", int(ranges[own[0]]), 0, 0, [x.tobytes() for x in (k1[own], k2[own], ids[of[p]], file[of[p]], block[of[p]], row[of[p]], start[of[p]] + offset[p])]
 
 
-def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def compare(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffix arrays of shards of contexts, which come sorted by anchor and salt."""
     own: list[pa.RecordBatch] = []
     size, last = 0, None
 
     def flush() -> Iterator[pa.RecordBatch]:
-        out = list(_shard(own))
+        out = list(_shard(own, bits))
         for a in range(0, len(out), 256):
             yield _messages(out[a : a + 256])
 
@@ -494,19 +499,35 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
+def merged_runs(runs: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """One run from sorted runs of columns, by their first: two at a time, the places of the one's keys in the other
+    found by binary search. Equal keys keep the order of the runs."""
+    while len(runs) > 1:
+        out = []
+        for a, b in zip(runs[::2], runs[1::2]):
+            at = np.searchsorted(a[0], b[0], "right") + np.arange(len(b[0]))
+            first = np.ones(len(a[0]) + len(b[0]), bool)
+            first[at] = False
+            both = [np.empty(len(first), x.dtype) for x in a]
+            for whole, x, y in zip(both, a, b):
+                whole[first], whole[at] = x, y
+            out.append(both)
+        runs = out + runs[len(runs) // 2 * 2 :]
+    return runs[0]
+
+
 def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Key range by key range: the strings of dealt-out anchors that another shard has earlier."""
     for rows in _grouped(batches, lambda r: r["bucket"]):
-        runs = [[np.frombuffer(x, t) for x, t in zip(r["data"], ("<u8", "<u8", *["<i8"] * 5))] for r in rows]
-        every = np.unique(np.concatenate([r[0] for r in runs]))
-        place = [np.searchsorted(every, r[0]) for r in runs]  # each sorted run, by binary search
-        k2, ids, file, block, row, start = (np.concatenate([r[i] for r in runs]) for i in range(1, 7))
-        k1 = np.concatenate(place)
-        by = np.lexsort((start, row, block, file, ids, k2, k1))
-        k1, k2, file, block, row, start = (x[by] for x in (k1, k2, file, block, row, start))
-        heads = np.ones(len(by), bool)
+        k1, k2, ids, file, block, row, start = merged_runs([[np.frombuffer(x, t) for x, t in zip(r["data"], ("<u8", "<u8", *["<i8"] * 5))] for r in rows])
+        same = np.zeros(len(k1), bool)
+        same[1:] = k1[1:] == k1[:-1]
+        at = np.flatnonzero(same | np.append(same[1:], False))  # only strings that meet another of their key
+        at = at[np.lexsort((start[at], row[at], block[at], file[at], ids[at], k2[at], k1[at]))]
+        k1, k2, file, block, row, start = (x[at] for x in (k1, k2, file, block, row, start))
+        heads = np.ones(len(at), bool)
         heads[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-        first = np.maximum.accumulate(np.where(heads, np.arange(len(by)), 0))
+        first = np.maximum.accumulate(np.where(heads, np.arange(len(at)), 0))
         gone = np.flatnonzero((file != file[first]) | (block != block[first]) | (row != row[first]) | (start != start[first]))
         out = []
         for own in _by_block(file[gone], block[gone]):
@@ -553,13 +574,14 @@ def dedup(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-total // BUCKET_BYTES))
     sent = storage.in_arrow(rows, partial(scan, path, buckets), MESSAGE)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION_BYTES))
+    bits = RANGE_BITS + max(0, (total // RANGED_BYTES).bit_length())
     by_bucket = sent.repartition(max(partitions, min(buckets, 4 * partitions)), "bucket").sortWithinPartitions("bucket")
     met = storage.staged(storage.in_arrow(by_bucket, meet, MESSAGE), "passage-messages")
     wanted = met.filter("kind = 'wanted'").repartition(partitions, "file", "block").sortWithinPartitions("file", "block")
     contexts = storage.in_arrow(wanted, partial(fetch, path), CONTEXTS)
     shards = contexts.repartition(2 * partitions, "anchor", "salt").sortWithinPartitions("anchor", "salt")
-    compared = storage.staged(storage.in_arrow(shards, compare, MESSAGE), "passage-shards")
+    compared = storage.staged(storage.in_arrow(shards, partial(compare, bits), MESSAGE), "passage-shards")
     strings = compared.filter("kind = 'strings'").repartition(partitions, "bucket").sortWithinPartitions("bucket")
     merged = storage.in_arrow(strings, merge, MESSAGE)
     spans = met.filter("kind IN ('block', 'spans')").unionByName(compared.filter("kind = 'spans'")).unionByName(merged)

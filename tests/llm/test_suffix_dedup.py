@@ -82,7 +82,7 @@ def test_stages_with_small_blocks_shards_and_groups(monkeypatch, tmp_path):
     met = list(suffix_dedup.meet(iter(batches(sent, "bucket"))))
     rows_of = lambda ms, *kinds: [pa.RecordBatch.from_pylist([r for b in ms for r in b.to_pylist() if r["kind"] in kinds], suffix_dedup._MESSAGE)]
     contexts = list(suffix_dedup.fetch(path, iter(batches(rows_of(met, "wanted"), "file", "block"))))
-    compared = list(suffix_dedup.compare(iter(batches(contexts, "anchor", "salt"))))
+    compared = list(suffix_dedup.compare(suffix_dedup.RANGE_BITS, iter(batches(contexts, "anchor", "salt"))))
     strings = rows_of(compared, "strings")
     assert len(strings[0]) > 20 and any(r["salt"] > 0 for b in contexts for r in b.to_pylist())
     merged = list(suffix_dedup.merge(iter(batches(strings, "bucket"))))
@@ -120,3 +120,15 @@ def test_odd_rows(spark, odd_documents, frame):
     assert suffix_dedup.dedup(frame([], "doc_id long, text string")).count() == 0
     copies = frame([(1, "k" * 40 + "j" * 80)] * 2 + [(None, "k" * 40 + "j" * 80)], "doc_id long, text string")
     assert sorted(r.n_removed for r in suffix_dedup.dedup(copies).collect()) == [0, 120, 120]
+
+
+def test_runs_merge_by_binary_search():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 7):
+        runs = []
+        for i in range(n):
+            key = np.sort(rng.integers(0, 50, rng.integers(0, 40)).astype(np.uint64))
+            runs.append([key, np.full(len(key), i)])
+        got = suffix_dedup.merged_runs(runs)
+        order = np.argsort(np.concatenate([r[0] for r in runs]), kind="stable")
+        assert np.array_equal(got[0], np.concatenate([r[0] for r in runs])[order]) and np.array_equal(got[1], np.concatenate([r[1] for r in runs])[order])
