@@ -48,7 +48,7 @@ PROPOSED = {
 #: What a text must hold for a pattern to match at all.
 NEEDS = {"email": "contains(text, '@')", "ip": "text rlike '[0-9]'", "card": "text rlike '[0-9]'", "phone": "contains(text, '+')"}
 PROPOSAL_NEEDS = {"email": "(contains(text, '@') OR text rlike '(?i)[ \\\\[({]at[ \\\\])}]')", "ip": "text rlike '[0-9]'", "card": "text rlike '[0-9]'", "phone": "text rlike '[0-9]'"}
-#: Code points of context on either side.
+#: Code points of context on either side, as far as the neighbouring matches.
 CONTEXT = 32
 WORDS = {
     "ctx_mail": "mail|contact|correo|courriel|kontakt|write to|schreib",
@@ -70,14 +70,34 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+#: Matches whose places are summed up in one go; arrays grow by appending within a block only.
+BLOCK = 256
+
+
 def _matches(pattern: str) -> str:
-    """SQL: array of (s, e, m) of the pattern's leftmost, non-overlapping matches in ``text``."""
+    """SQL: array of (s, e, m, before, after) of the pattern's leftmost, non-overlapping matches in ``text``.
+
+    A match begins where the gaps and matches before it end. Gaps and matches are taken in blocks, whose lengths give
+    where each block begins, so that a text with very many matches takes about linear time. ``before`` and ``after``
+    are the nearest CONTEXT code points of the gaps around a match.
+    """
     p = _quoted(pattern)
-    none = "CAST(array() AS array<struct<s:int,e:int,m:string>>)"
+    none = "CAST(array() AS array<struct<s:int,e:int,m:string,before:string,after:string>>)"
+    zipped = f"transform(array(split(text, {p}, -1)), g -> arrays_zip(transform(g, y -> y), regexp_extract_all(text, {p}, 0), slice(g, 2, size(g))))[0]"
+    own = f"slice(z, n * {BLOCK} + 1, {BLOCK})"
+    numbers = f"sequence(0, CAST((size(z) - 1) div {BLOCK} AS int))"
+    starts = f"aggregate(transform({numbers}, n -> aggregate({own}, 0, (a, x) -> a + length(x['0']) + coalesce(length(x['1']), 0))), array(0), (a, v) -> concat(a, array(element_at(a, -1) + v)))"
+    match = f"named_struct('s', a.at + length(x['0']), 'e', a.at + length(x['0']) + length(x['1']), 'm', x['1'], 'before', substring(x['0'], -{CONTEXT}, {CONTEXT}), 'after', substring(x['2'], 1, {CONTEXT}))"
+    found = f"aggregate({own}, named_struct('at', firsts[n], 'out', {none}), (a, x) -> IF(x['1'] IS NULL, a, named_struct('at', a.at + length(x['0']) + length(x['1']), 'out', concat(a.out, array({match})))), a -> a.out)"
+    return f"transform(array({zipped}), z -> transform(array({starts}), firsts -> flatten(transform({numbers}, n -> {found})))[0])[0]"
+
+
+def _count_before(spans: str, condition: str) -> str:
+    """SQL: how many of the sorted spans fulfil a condition on ``x`` that holds up to some place, by halving."""
+    mid = "shiftright(a.lo + a.hi, 1)"
     return (
-        f"aggregate(arrays_zip(transform(split(text, {p}, -1), g -> length(g)), regexp_extract_all(text, {p}, 0)), "
-        f"named_struct('at', 0, 'out', {none}), (a, x) -> IF(x['1'] IS NULL, a, named_struct('at', a.at + x['0'] + length(x['1']), "
-        f"'out', concat(a.out, array(named_struct('s', a.at + x['0'], 'e', a.at + x['0'] + length(x['1']), 'm', x['1']))))), a -> a.out)"
+        f"aggregate(sequence(1, length(bin(size({spans})))), named_struct('lo', 0, 'hi', size({spans})), (a, i) -> IF(a.lo >= a.hi, a, "
+        f"IF({condition.replace('x.', f'{spans}[{mid}].')}, named_struct('lo', {mid} + 1, 'hi', a.hi), named_struct('lo', a.lo, 'hi', {mid}))), a -> a.lo)"
     )
 
 
@@ -111,7 +131,7 @@ def proposals() -> Column:
     """Array of (s, k, e, f): what the generators propose in ``text``, with features."""
     each = []
     for k, kind in enumerate(KINDS):
-        around = f"lower(concat(substring(text, greatest(1, x.s + 1 - {CONTEXT}), least(x.s, {CONTEXT})), ' ', substring(text, x.e + 1, {CONTEXT})))"
+        around = "lower(concat(x.before, ' ', x.after))"
         count = lambda pattern: f"size(regexp_extract_all(x.m, {_quoted(pattern)}, 0))"
         digits = _digits("x.m")
         values = {
@@ -269,20 +289,36 @@ def _model_sql() -> tuple[str, str]:
     return score, limit
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``base`` and ``added`` spans, arrays of (s, k, e) in order of start, then kind."""
+def _spans(docs: DataFrame) -> DataFrame:
+    """(own, text, base, added) of every row, ``own`` its columns.
+
+    Matches of one kind never overlap each other, so that those of a kind which overlap a span lie side by side, from
+    the first that ends after its start to the last that begins before its end; both are found by halving.
+    """
     score, limit = _model_sql()
-    own = docs.drop("base", "added")
-    row = own.select(F.struct(*[F.col(f"`{c}`") for c in own.columns]).alias("own"), storage.text_or_empty().alias("text"))
-    row = row.select("own", "text", F.array_sort(F.concat(*[base_spans(k) for k in KINDS])).alias("base"), proposals().alias("proposed"))
-    free = F.expr("filter(proposed, c -> NOT exists(base, b -> b.s < c.e AND c.s < b.e))")
-    row = row.select("own", "base", free.alias("free"))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), storage.text_or_empty().alias("text"))
+    row = row.select("own", "text", *[base_spans(k).alias(f"base{i}") for i, k in enumerate(KINDS)], proposals().alias("proposed"))
+    taken = [f"element_at(base{k}, nullif({_count_before(f'base{k}', 'x.s < c.e')}, 0)).e > c.s" for k in range(len(KINDS))]
+    free = F.when(F.size("proposed") > 0, F.expr(f"filter(proposed, c -> NOT ({' OR '.join(f'coalesce({t}, false)' for t in taken)}))"))
+    row = row.select("own", "text", F.array_sort(F.concat(*[F.col(f"base{k}") for k in range(len(KINDS))])).alias("base"), free.alias("free"))
     scored = F.expr(f"filter(transform(free, c -> named_struct('s', c.s, 'k', c.k, 'e', c.e, 'margin', ({score}) - {limit})), c -> c.margin >= 0)")
-    row = row.select("own", "base", F.when(F.size("free") > 0, scored).alias("scored"))
+    row = row.select("own", "text", "base", F.when(F.size("free") > 0, scored).alias("scored"))
+    row = row.select("own", "text", "base", "scored", *[F.expr(f"filter(scored, x -> x.k = {k})").alias(f"kind{k}") for k in range(len(KINDS))])
     ahead = "(d.margin > c.margin OR (d.margin = c.margin AND (d.s < c.s OR (d.s = c.s AND d.k < c.k))))"
-    best = F.expr(f"transform(filter(scored, c -> NOT exists(scored, d -> d.s < c.e AND c.s < d.e AND {ahead})), c -> named_struct('s', c.s, 'k', c.k, 'e', c.e))")
-    added = F.coalesce(F.array_sort(best), F.expr("CAST(array() AS array<struct<s:int,k:int,e:int>>)"))
-    return row.select(*[F.col(f"own.`{c}`").alias(c) for c in own.columns], "base", added.alias("added"))
+    better = []
+    for k in range(len(KINDS)):
+        first, last = _count_before(f"kind{k}", "x.e <= c.s"), _count_before(f"kind{k}", "x.s < c.e")
+        better.append(f"exists(slice(kind{k}, {first} + 1, greatest({last} - {first}, 0)), d -> {ahead})")
+    best = F.expr(f"transform(filter(scored, c -> NOT ({' OR '.join(better)})), c -> named_struct('s', c.s, 'k', c.k, 'e', c.e))")
+    added = F.coalesce(F.when(F.size("scored") > 0, F.array_sort(best)), F.expr("CAST(array() AS array<struct<s:int,k:int,e:int>>)"))
+    return row.select("own", "text", "base", added.alias("added"))
+
+
+def find(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``base`` and ``added`` spans, arrays of (s, k, e) in order of start, then kind; columns of those
+    names are replaced."""
+    kept = [c for c in docs.columns if c not in ("base", "added")]
+    return _spans(docs.select(*[F.col(f"`{c}`") for c in kept])).select(*[F.col(f"own.`{c}`").alias(c) for c in kept], "base", "added")
 
 
 def spans_text(spans: str) -> Column:
@@ -293,12 +329,12 @@ def spans_text(spans: str) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; overlapping spans by the first one's."""
     names = ", ".join(f"'[{k}]'" for k in KINDS)
-    found = find(docs)
+    found = _spans(docs)
     pieces = F.expr(
-        f"aggregate(array_sort(concat(base, added)), named_struct('at', 0, 'out', ''), (a, x) -> IF(x.s < a.at, named_struct('at', greatest(a.at, x.e), 'out', a.out), "
-        f"named_struct('at', x.e, 'out', concat(a.out, substring(text, a.at + 1, x.s - a.at), element_at(array({names}), x.k + 1)))), a -> concat(a.out, substring(text, a.at + 1)))"
+        f"aggregate(array_sort(concat(base, added)), named_struct('at', 0, 'out', CAST(array() AS array<string>)), (a, x) -> IF(x.s < a.at, named_struct('at', greatest(a.at, x.e), 'out', a.out), "
+        f"named_struct('at', x.e, 'out', concat(a.out, array(substring(text, a.at + 1, x.s - a.at), element_at(array({names}), x.k + 1))))), a -> concat(array_join(a.out, ''), substring(text, a.at + 1)))"
     )
-    return found.select(*[F.when(F.size("base") + F.size("added") > 0, pieces).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return found.select(*[F.when(F.size("base") + F.size("added") > 0, pieces).otherwise(F.col("own.text")).alias("text") if c == "text" else F.col(f"own.`{c}`").alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,7 +95,35 @@ def test_held_back_sentences(spark, frame):
         for x in [*r.base, *r.added]:
             hit = any(k == x.k and min(e, x.e) - max(s, x.s) >= 0.8 * (max(e, x.e) - min(s, x.s)) for k, s, e in true)
             good, bad = good + hit, bad + (not hit)
-    assert good / (good + bad) > 0.93 and good / total > 0.7, (good, bad, total)
+    assert good / (good + bad) > 0.93 and good / total > 0.9, (good, bad, total)
+
+
+def test_texts_with_very_many_matches(frame):
+    import time
+
+    text = " ".join(f"user{i}@host{i % 7}.example.org 10.0.{i % 256}.{i % 251} call 743-555-{i % 10000:04d}," for i in range(20_000))
+    docs = frame([(1, text), (2, "x" * 2_000_000), (3, "1.2.3.4 " * 100_000)], "doc_id long, text string")
+    began = time.perf_counter()
+    got = {r.doc_id: ([tuple(x) for x in r.base], len(r.added)) for r in pii.find(docs).collect()}
+    assert time.perf_counter() - began < 120
+    assert got[1][0] == brute(text) and got[2] == ([], 0) and len(got[3][0]) == 100_000
+
+
+def test_added_spans_overlap_nothing(frame):
+    import random
+
+    rng = random.Random(3)
+    texts = [" ".join(t for t, _ in pii.sentences(rng.randint(1, 6), seed=k)) for k in range(150)]
+    for r in pii.find(frame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).collect():
+        added = [tuple(x) for x in r.added]
+        assert all(not (b.s < e and s < b.e) for s, _, e in added for b in r.base)
+        assert all(a == b or not (a[0] < b[2] and b[0] < a[2]) for a in added for b in added)
+
+
+def test_redaction_keeps_columns_of_the_outputs_names(frame):
+    docs = frame([(1, "to a@b.c", "mine", [1])], "doc_id long, text string, base string, added array<int>")
+    row = pii.redact(docs).first()
+    assert (row.text, row.base, row.added) == ("to [email]", "mine", [1]) and pii.redact(docs).columns == docs.columns
 
 
 def test_redaction_and_odd_rows(frame, odd_documents):
