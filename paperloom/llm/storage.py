@@ -76,11 +76,15 @@ def bucketed(df: DataFrame, name: str, keys: list[str]) -> tuple[DataFrame, Data
 BATCH_BYTES = 8 << 20
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches to Python are bounded in bytes from now on, where the session sets no bound of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def in_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with batches that are bounded in bytes, where the session sets no bound of its own."""
-    conf = df.sparkSession.conf
-    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """``df.mapInArrow`` with batches that are bounded in bytes."""
+    bound_batches(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
