@@ -7,7 +7,8 @@ labelled documents that were not counted as trusted (those whose crc32 of the id
 gets its verdict from the same score and threshold, whatever else is in its partition. Base rules that need no corpus
 (``BASE``) come first.
 
-Counting all documents takes one pass without a shuffle of texts; a task sends at most one row per bucket. Only the
+Counting all documents takes one pass without a shuffle of texts; a task sends its counts in at most
+``(1 << BITS) / SLAB`` rows. Only the
 join that finds the trusted documents moves texts, and beyond Spark's threshold its Bloom filter leaves out the others
 before. What reaches the driver are the sums of the buckets and of the calibration's score bins, both of fixed number;
 the ratios (512 kB) are broadcast.
@@ -46,6 +47,9 @@ WEIGHT = 10
 FALLBACK = -0.25
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FIELDS = [*BASE, "score", "base_failed"]
+#: Buckets of which a task sends the counts in one row, a column each.
+SLAB = 64
+COUNTS = [f"n{i}" for i in range(SLAB)]
 #: Bytes of a text that are hashed at once, and n-grams that are counted at once.
 BLOCK, COUNTED = 1 << 20, 1 << 22
 
@@ -95,7 +99,7 @@ def base_counts(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]
 
 
 def _counted(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, n) of a task's texts."""
+    """(slab, n0, n1, ...) of a task's texts: the counts of the slab's buckets."""
     total, held, size = np.zeros(1 << BITS, np.int64), [], 0
     for batch in texts:
         for text in batch["text"]:
@@ -107,8 +111,9 @@ def _counted(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held, size = [], 0
     if held:
         total += np.bincount(np.concatenate(held), minlength=1 << BITS)
-    own = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["bucket", "n"])
+    slabs = total.reshape(-1, SLAB)
+    own = np.flatnonzero(slabs.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.array(c) for c in slabs[own].T)], names=["slab", *COUNTS])
 
 
 def judgements(labels: DataFrame) -> DataFrame:
@@ -121,13 +126,13 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """The log ratio of trusted documents to all, by bucket; zeros where none is trusted."""
     trusted = judgements(labels).filter("quality = 1 AND NOT calibrates").select("doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    whole = storage.in_arrow(texts.select("text"), _counted, "bucket long, n long").select("bucket", "n", F.lit(0).cast("long").alias("t"))
+    counted = lambda df, row: storage.in_arrow(df.select("text"), _counted, "slab long," + ",".join(f"{c} long" for c in COUNTS)).withColumn("row", F.lit(row))
     # the ids are hashed, not sorted: the texts are shuffled, but never sorted
-    own = storage.in_arrow(texts.join(trusted.hint("shuffle_hash"), "doc_id", "left_semi").select("text"), _counted, "bucket long, n long").select("bucket", F.lit(0).cast("long").alias("n"), F.col("n").alias("t"))
-    rows = whole.unionByName(own).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).collect()
-    counts = np.zeros((2, 1 << BITS))
-    for r in rows:
-        counts[:, r.bucket] = r.t, r.n
+    own = texts.join(trusted.hint("shuffle_hash"), "doc_id", "left_semi")
+    counts = np.zeros((2, (1 << BITS) // SLAB, SLAB))
+    for r in counted(own, 0).unionByName(counted(texts, 1)).groupBy("row", "slab").agg(*[F.sum(c).alias(c) for c in COUNTS]).collect():
+        counts[r.row, r.slab] = r[2:]
+    counts = counts.reshape(2, -1)
     if not counts[0].any():
         return np.zeros(1 << BITS)
     counts += PRIOR
