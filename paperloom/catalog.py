@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import formats, rules
+from .plans import contracts, formats, rules
 from .plans import queries as relational
 
 
@@ -13,8 +13,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {**relational.QUERIES, **rules.QUERIES, **formats.QUERIES}
+    return {**relational.QUERIES, **rules.QUERIES, **contracts.QUERIES, **formats.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**relational.SQL, **rules.SQL}
+    return {**relational.SQL, **rules.SQL, **contracts.SQL}

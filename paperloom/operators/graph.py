@@ -1,4 +1,4 @@
-"""Recursive work on edge tables: inheritance, nearest ancestors, cycles.
+"""Recursive work on edge tables: inheritance, nearest ancestors, cycles, strongly connected components.
 
 A node keeps one pointer and what it knows so far, never a list of its ancestors: every round it takes over what the
 node at its pointer knows and then points to where that one points, so that a chain of n links takes log2(n) rounds
@@ -67,16 +67,63 @@ def on_cycles(edges: DataFrame) -> DataFrame:
     return pointers.select(F.col("parent").alias("node")).distinct()
 
 
-def cyclic_core(edges: DataFrame) -> DataFrame:
-    """(node, parent): the edges left when nodes without parents and nodes without children are peeled off in turn.
+def _trimmed(edges: DataFrame) -> DataFrame:
+    """The edges from nodes that something leads to, to nodes that lead on: no other lies on a cycle."""
+    entered = edges.select(F.col("parent").alias("node")).distinct()
+    left = edges.select(F.col("node").alias("parent")).distinct()
+    return kept(edges.join(entered, "node", "left_semi").join(left, "parent", "left_semi").select("node", "parent"), "trimmed")
 
-    Nodes may have many parents. Nothing is left just when there is no cycle; rounds follow the longest path, which
-    for references between contracts is the number of stages.
+
+def _further(links: DataFrame, known: DataFrame) -> DataFrame:
+    """``known(side, node, best, before)`` with what a node's neighbours know, and what the node that it knows of knew."""
+    ahead = links.join(known.select("side", F.col("node").alias("parent"), "best"), ["side", "parent"]).groupBy("side", "node").agg(F.min("best").alias("ahead"))
+    taken = known.join(ahead, ["side", "node"], "left").select("side", "node", F.least("best", "ahead").alias("best"), "before")
+    further = known.select("side", F.col("node").alias("at"), F.col("best").alias("further"))
+    jumped = taken.withColumn("at", F.col("best.at")).join(further, ["side", "at"])
+    return jumped.select("side", "node", F.least("best", "further").alias("best"), "before")
+
+
+def firsts(edges: DataFrame, seed: int = 0) -> DataFrame:
+    """(node, to, from): of the nodes that a node leads to, and of those that lead to it (itself included in both), the
+    one that comes first in a random order.
+
+    Every round a node takes over what its neighbours know, and what the node that it knows of knows. Since the order
+    is random, that node lies about anywhere among the nodes looked at so far, so that these about double every round,
+    on long chains too.
+    """
+    links = kept(edges.select(F.lit(0).alias("side"), "node", "parent").unionByName(edges.select(F.lit(1).alias("side"), F.col("parent").alias("node"), F.col("node").alias("parent"))), "links")
+    own = F.struct(F.xxhash64(F.lit(seed), "node").alias("rank"), F.col("node").alias("at")).alias("best")
+    nodes = links.select(F.explode(F.array("node", "parent")).alias("node")).distinct()
+    known, moved = kept(nodes.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("side"), "node", own), "firsts"), 1
+    while moved:
+        step = _further(links, _further(links, known.withColumn("before", F.col("best"))))
+        step = kept(step.select("side", "node", "best", (F.col("best") < F.col("before")).alias("moved")), "firsts")
+        moved, known = step.filter("moved").count(), step.drop("moved")
+    return known.groupBy("node").agg(F.max(F.when(F.col("side") == 0, F.col("best.at"))).alias("to"), F.max(F.when(F.col("side") == 1, F.col("best.at"))).alias("from"))
+
+
+def strongly_connected(edges: DataFrame) -> DataFrame:
+    """(node, component) of every node on a cycle; nodes that lead to each other share a component, named by the smallest.
+
+    ``edges(node, parent)`` may give a node any number of parents; repeated edges and edges of null ends count for
+    nothing, an edge to itself is a cycle. Each round gives all nodes the first node of a random order that they lead
+    to, and the first that leads to them. Where the two are one node, that node's component is found; nodes of
+    different pairs are never in one component, so that edges between them go. What lies on no cycle falls apart in
+    this way, or is trimmed off.
     """
-    rest = kept(edges.filter("node IS NOT NULL AND parent IS NOT NULL").select("node", "parent").distinct(), "core")
-    before, n = -1, rest.count()
-    while n and n != before:
-        inner = rest.join(rest.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi").join(rest.select(F.col("parent").alias("node")).distinct(), "node", "left_semi")
-        rest = kept(inner.select("node", "parent"), "core")
-        before, n = n, rest.count()
-    return rest
+    everything = kept(edges.filter("node IS NOT NULL AND parent IS NOT NULL").select("node", "parent").distinct(), "edges")
+    found = everything.filter("node = parent").select("node", F.col("node").alias("first"))
+    rest, seed = _trimmed(everything.filter("node <> parent")), 0
+    while not rest.isEmpty():
+        pairs = kept(firsts(rest, seed), "pairs")
+        own = pairs.filter("to = from")
+        groups = own.groupBy(F.col("to").alias("first")).agg(F.count("*").alias("n")).filter("n > 1")
+        found = found.unionByName(own.select("node", F.col("to").alias("first")).join(groups, "first", "left_semi").select("node", "first"))
+        open_ = pairs.filter("to <> from")
+        ends = open_.select(F.col("node").alias("parent"), F.col("to").alias("parent_to"), F.col("from").alias("parent_from"))
+        inner = rest.join(open_, "node").join(ends, "parent").filter("to = parent_to AND from = parent_from")
+        rest, seed = _trimmed(inner.select("node", "parent")), seed + 1
+    # an edge to itself may lie in a larger component: that one counts
+    one = kept(found.groupBy("node").agg(F.min(F.struct((F.col("node") == F.col("first")), "first")).alias("best")).select("node", F.col("best.first").alias("first")), "components")
+    named = one.groupBy("first").agg(F.min("node").alias("component"))
+    return one.join(named, "first").select("node", "component")

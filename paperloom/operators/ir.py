@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import canonical_json, stable_id
+from ..functions.windows import numbered
+from ..storage import kept
+from . import graph
 
 UNIT_COLUMNS = ["document_id", "unit_id", "kind", "parent_id", "ordinal", "origin", "native_id", "text", "protected"]
 
@@ -25,14 +28,14 @@ def roots(documents: DataFrame) -> DataFrame:
     return documents.select("document_id").distinct().select(d, root_id(d).alias("unit_id"), F.lit("document").alias("kind"), none.alias("parent_id"), F.lit(0).cast("long").alias("ordinal"), F.lit("synthetic").alias("origin"), none.alias("native_id"), none.alias("text"), F.lit(False).alias("protected"))
 
 
-def _units(rows: DataFrame, kind: Column, parent: Column, native: Column, text: Column, protected: Column, ordinal: Column) -> DataFrame:
+def _units(rows: DataFrame, kind: Column, parent: Column, native: Column, text: Column, protected: Column, ordinal: Column, *carried: str) -> DataFrame:
     d = F.col("document_id")
-    return rows.select(d, unit_id(d, native, kind).alias("unit_id"), kind.alias("kind"), parent.alias("parent_id"), ordinal.cast("long").alias("ordinal"), F.lit("native_projection").alias("origin"), native.alias("native_id"), text.alias("text"), protected.alias("protected"))
+    return rows.select(*carried, d, unit_id(d, native, kind).alias("unit_id"), kind.alias("kind"), parent.alias("parent_id"), ordinal.cast("long").alias("ordinal"), F.lit("native_projection").alias("origin"), native.alias("native_id"), text.alias("text"), protected.alias("protected"))
 
 
-def project_text(lines: DataFrame) -> DataFrame:
-    """``lines(document_id, ordinal, unit_id, text)`` as text_line units under the root."""
-    return _units(lines, F.lit("text_line"), root_id(F.col("document_id")), F.col("unit_id"), F.col("text"), F.lit(False), F.col("ordinal"))
+def project_text(lines: DataFrame, *carried: str) -> DataFrame:
+    """``lines(document_id, ordinal, unit_id, text)`` as text_line units under the root; columns ``carried`` stay."""
+    return _units(lines, F.lit("text_line"), root_id(F.col("document_id")), F.col("unit_id"), F.col("text"), F.lit(False), F.col("ordinal"), *carried)
 
 
 def project_sheet(cells: DataFrame) -> DataFrame:
@@ -54,9 +57,8 @@ def project_slides(shapes: DataFrame) -> DataFrame:
 def append_catalog(base: DataFrame, rows: DataFrame, kind: Column, protected: Column) -> DataFrame:
     """``rows(document_id, native_id, text)`` as units under the root, with ordinals that continue those of ``base``."""
     counts = base.groupBy("document_id").agg(F.max("ordinal").alias("__last"))
-    order = Window.partitionBy("document_id").orderBy("native_id")
-    numbered = rows.join(counts, "document_id", "left").withColumn("ordinal", F.coalesce("__last", F.lit(-1)) + F.row_number().over(order))
-    return _units(numbered, kind, root_id(F.col("document_id")), F.col("native_id"), F.col("text"), protected, F.col("ordinal"))
+    placed = numbered(rows, ["native_id"], "__place", within=["document_id"]).join(counts, "document_id", "left").withColumn("ordinal", F.coalesce("__last", F.lit(-1)) + 1 + F.col("__place"))
+    return _units(placed, kind, root_id(F.col("document_id")), F.col("native_id"), F.col("text"), protected, F.col("ordinal"))
 
 
 def first_target(annotations: DataFrame, units: DataFrame) -> DataFrame:
@@ -66,8 +68,25 @@ def first_target(annotations: DataFrame, units: DataFrame) -> DataFrame:
     return found.groupBy("annotation_id").agg(F.min(F.when(F.col("found").isNotNull(), F.struct("pos", "found"))).alias("first")).select("annotation_id", F.col("first.found").alias("unit_id"))
 
 
+def on_cycles(units: DataFrame) -> DataFrame:
+    """(document_id, unit_id) of units that are their own ancestors, through others.
+
+    Documents whose units have one parent each are followed by doubling pointers; only those in which a repeated id has
+    several parents need strongly connected components.
+    """
+    node = lambda c: F.struct("document_id", F.col(c).alias("unit_id"))
+    edges = units.filter("parent_id IS NOT NULL AND parent_id <> unit_id").select("document_id", node("unit_id").alias("node"), node("parent_id").alias("parent"))
+    several = kept(edges.groupBy("document_id", "node").agg(F.min("parent").alias("low"), F.max("parent").alias("high")).filter("low <> high").select("document_id").distinct(), "several-parents")
+    if several.isEmpty():
+        found = graph.on_cycles(edges)
+    else:
+        found = graph.on_cycles(edges.join(several, "document_id", "left_anti")).unionByName(graph.strongly_connected(edges.join(several, "document_id", "left_semi")).select("node"))
+    return found.select("node.document_id", "node.unit_id")
+
+
 def broken_invariants(units: DataFrame) -> DataFrame:
-    """(document_id, unit_id, rule): repeated ids, several or no roots, orphans, own parents, sources out of place."""
+    """(document_id, unit_id, rule): repeated ids, several or no roots, orphans, own parents, cycles of several units,
+    sources out of place."""
     repeated = units.groupBy("document_id", "unit_id").agg(F.count("*").alias("n")).filter("n > 1").select("document_id", "unit_id", F.lit("repeated_id").alias("rule"))
     tops = units.groupBy("document_id").agg(F.count_if(F.col("parent_id").isNull()).alias("n")).filter("n <> 1").select("document_id", F.lit(None).cast("string").alias("unit_id"), F.lit("one_root").alias("rule"))
     own = units.filter("unit_id = parent_id").select("document_id", "unit_id", F.lit("own_parent").alias("rule"))
@@ -75,4 +94,5 @@ def broken_invariants(units: DataFrame) -> DataFrame:
     orphans = units.filter("parent_id IS NOT NULL").join(parents, ["document_id", "parent_id"], "left_anti").select("document_id", "unit_id", F.lit("orphan").alias("rule"))
     place = (F.col("origin") == "synthetic") == F.col("native_id").isNotNull()
     sources = units.filter(place).select("document_id", "unit_id", F.lit("source_of_origin").alias("rule"))
-    return repeated.unionByName(tops).unionByName(own).unionByName(orphans).unionByName(sources)
+    cycles = on_cycles(units).withColumn("rule", F.lit("cycle"))
+    return repeated.unionByName(tops).unionByName(own).unionByName(orphans).unionByName(sources).unionByName(cycles)

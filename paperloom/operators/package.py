@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import canonical_json, stable_id
 from ..functions.ranks import STATUS, gravest, rank, state_of
 from ..functions.scalar import is_portable_path
-from .graph import cyclic_core
+from .graph import strongly_connected
 
 CHECK = ["run_id", "document_id", "rule", "kind", "code", "level", "blocking", "subject"]
 
@@ -69,11 +69,31 @@ def nested_reference_failures(references: DataFrame, files: DataFrame, declared:
     ])
 
 
+def verified_input_failures(expected: DataFrame, stored: DataFrame, major: str = "2") -> DataFrame:
+    """(input_id, failure) of ``expected(input_id, path, sha256, schema_id, document_id)`` that ``stored(path, sha256,
+    body)`` doesn't hold: the first of absent, hash, not_json, schema, version (other than ``major``), document.
+
+    The header and the document's id are read from the body; an expectation without a document takes any.
+    """
+    actual = stored.select("path", F.col("sha256").alias("actual"), F.try_parse_json("body").alias("v"))
+    field = lambda p: F.try_variant_get("v", p, "string")
+    rows = expected.withColumn("document_id", F.col("document_id").cast("string")).join(actual, "path", "left")
+    failure = (
+        F.when(F.col("actual").isNull(), "absent")
+        .when(F.col("actual") != F.col("sha256"), "hash")
+        .when(F.col("v").isNull(), "not_json")
+        .when(~field("$.header.schema_id").eqNullSafe(F.col("schema_id")), "schema")
+        .when(~F.coalesce(field("$.header.schema_version").rlike(rf"^{major}\.[0-9]+\.[0-9]+$"), F.lit(False)), "version")
+        .when(F.col("document_id").isNotNull() & ~field("$.document_id").eqNullSafe(F.col("document_id")), "document")
+    )
+    return rows.select("input_id", failure.alias("failure")).filter("failure IS NOT NULL")
+
+
 def cycle_failures(references: DataFrame) -> DataFrame:
-    """(run_id, owner, path) references that remain when everything outside cycles is peeled off."""
+    """Owners among ``references(run_id, owner, path)`` that references lead back to."""
     node = lambda c: F.struct("run_id", F.col(c).alias("name"))
-    core = cyclic_core(references.select(node("owner").alias("node"), node("path").alias("parent")))
-    return _found(core.select("node.run_id", F.col("node.name").alias("owner")).distinct(), "reference_cycle", F.col("owner"))
+    found = strongly_connected(references.select(node("owner").alias("node"), node("path").alias("parent")))
+    return _found(found.select("node.run_id", F.col("node.name").alias("owner")), "reference_cycle", F.col("owner"))
 
 
 def changed_failures(before: DataFrame, after: DataFrame, rule: str) -> DataFrame:

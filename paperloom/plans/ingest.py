@@ -17,7 +17,7 @@ from .. import storage
 from ..functions.identity import bundle_hash, canonical_json, stable_id
 from ..functions.ranks import EXACTNESS, rank, state_of
 from ..functions.scalar import normal_part_path, property_names
-from ..operators import graph, ir, mapping, package, parts, quality, security, surfaces, validate
+from ..operators import digests, graph, ir, mapping, package, parts, quality, security, surfaces, validate
 from ..sources import access, acquire, containers, native, probe
 from ..sources.ids import content_hash
 
@@ -411,14 +411,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
+def artifact_set_hash(artifacts: DataFrame) -> str:
+    """One hash of the artifacts, whatever their order and partitions: a tree of hashes over their ids and contents."""
+    own = [c for c in ("artifact_id", "locator_id", "ordinal", "display_name", "role") if c in artifacts.columns]
+    leaf = F.sha2(F.to_json(F.struct(*own, F.sha2(F.coalesce("content", F.lit(b"")), 256).alias("content"))), 256)
+    found = digests.roots(artifacts.select(leaf.alias("leaf")), [], ["leaf"], F.col("leaf")).collect()  # one row
+    return found[0].root if found else "none"
+
+
 def write(spark: SparkSession, source: str | DataFrame, root: str, policy: Policy = Policy(), until: str | None = None, cancelled: Callable[[], bool] = lambda: False) -> Tables:
     """Writes every stage below ``root`` as Parquet, and the run log as ``run_nodes``; resumes after complete stages.
 
-    The request (policy and source name) is hashed into the folder, so that another request never resumes this one.
+    The request (policy, and the hash of the set of artifacts: their ids, names, places and contents) is hashed into the
+    folder, so that neither another policy nor another source, nor a source whose files have changed, resumes this one.
+    That takes one pass over the contents before the stages, on a resumed run too.
     """
-    request = content_hash({"policy": repr(policy), "source": source if isinstance(source, str) else "injected"})
-    base, nodes, tables = f"{root}/run={request[:16]}", [], {}
     artifacts = acquire.files(spark, source) if isinstance(source, str) else source
+    request = content_hash({"policy": repr(policy), "source": artifact_set_hash(artifacts)})
+    base, nodes, tables = f"{root}/run={request[:16]}", [], {}
     for name, stage in [("artifacts", lambda t, p: artifacts), *STAGES]:
         if cancelled():
             nodes.append((request, name, "cancelled"))

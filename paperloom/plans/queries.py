@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar
 from ..functions.identity import bundle_hash, canonical_json, content_hash, sql_stable_id, stable_id
 from ..functions.ranks import EXACTNESS, STATUS, gravest
-from ..functions.windows import running_total
+from ..functions.windows import numbered, running_total
 from ..operators import graph, ir, mapping, parts, quality, render, security, sheets, text, validate
 from ..sources import probe
 
@@ -64,6 +64,18 @@ def artifact_budget_running(spark, sf_dir):
     return out.withColumn("over_budget", F.col("running_bytes") > 1_000_000)
 
 
+@query("""
+WITH k AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS amount, CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST((CAST(l_partkey AS HUGEINT) * 1000003 * 998244353 * 65537) % 9223372036854775783 AS BIGINT) END AS key FROM lineitem)
+SELECT l_orderkey, l_linenumber, key, CAST(sum(amount) OVER (ORDER BY key) AS BIGINT) AS running, row_number() OVER (PARTITION BY key ORDER BY l_orderkey, l_linenumber) - 1 AS place FROM k""")
+def sparse_running_total(spark, sf_dir):
+    """Running totals and places over a sparse key with repeats and nulls."""
+    wide = lambda x: F.lit(x).cast("decimal(19,0)")
+    key = (F.col("l_partkey").cast("decimal(10,0)") * wide(1000003 * 998244353)).cast("decimal(27,0)") * F.lit(65537).cast("decimal(6,0)")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("amount"), F.when(F.col("l_linenumber") != 7, (key % wide(9223372036854775783)).cast("long")).alias("key"))
+    totals = running_total(rows, F.col("amount"), "key", "running")
+    return numbered(totals, ["l_orderkey", "l_linenumber"], "place", within=["key"]).drop("amount")
+
+
 @query(f"SELECT doc_id, {DOC_ID} AS document_id FROM documents")
 def document_identity(spark, sf_dir):
     """stable ids of documents."""
@@ -109,16 +121,24 @@ def locator_refusals(spark, sf_dir):
 
 # --- text --------------------------------------------------------------------------------------------------------------
 
-_LINES = f"""
-d AS (SELECT doc_id, {DOC_ID} AS document_id, coalesce(text, '') AS body FROM documents),
-u AS (SELECT doc_id, document_id, unnest(string_split(body, chr(10))) AS line, unnest(range(len(string_split(body, chr(10))))) AS ordinal, len(string_split(body, chr(10))) AS n FROM d),
-l AS (SELECT doc_id, document_id, ordinal, line AS text, CAST(coalesce(sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS byte_start, n FROM u),
-lines AS (SELECT doc_id, document_id, ordinal, text, byte_start, byte_start + CAST(strlen(text) AS BIGINT) AS byte_end FROM l WHERE NOT (ordinal = n - 1 AND text = ''))"""
+_END = r"\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}"
+
+
+def _lines_sql(body: str) -> str:
+    return rf"""
+d AS (SELECT doc_id, {DOC_ID} AS document_id, {body} AS body FROM documents),
+u AS (SELECT doc_id, document_id, unnest(p) AS piece, unnest(range(len(p))) AS ordinal FROM (SELECT *, regexp_extract_all(body, '[^{_END}]*(?:\r\n|[{_END}])|[^{_END}]+') AS p FROM d)),
+lines AS (SELECT doc_id, document_id, ordinal, rtrim(piece, chr(13) || chr(10)) AS text, begins AS byte_start, begins + CAST(strlen(rtrim(piece, chr(13) || chr(10))) AS BIGINT) AS byte_end
+  FROM (SELECT *, CAST(coalesce(sum(strlen(piece)) OVER (PARTITION BY doc_id ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begins FROM u))"""
+
+
+_LINES = _lines_sql("coalesce(text, '')")
 _LINE_ID = sql_stable_id("line", """('{"document_id":"' || document_id || '","ordinal":' || ordinal || ',"start":' || byte_start || '}')""")
 
 
-def _text_lines(spark, sf_dir) -> DataFrame:
+def _text_lines(spark, sf_dir, body=None) -> DataFrame:
     docs = _documents(spark, sf_dir)
+    docs = docs.withColumn("text", body(F.col("text"))) if body else docs
     out = text.lines(docs.withColumn("both", F.struct("doc_id", "document_id")), "both")
     unit = stable_id("line", canonical_json(document_id=F.col("document_id.document_id"), ordinal=F.col("ordinal"), start=F.col("byte_start")))
     return out.select(F.col("document_id.doc_id").alias("doc_id"), F.col("document_id.document_id").alias("document_id"), "ordinal", unit.alias("unit_id"), "byte_start", "byte_end", "text")
@@ -130,6 +150,21 @@ def text_lines(spark, sf_dir):
     return _text_lines(spark, sf_dir)
 
 
+_MIXED = "replace(replace(replace(replace(replace(coalesce(text, ''), ', ', chr(13)), ' th', chr(13) || chr(10)), ' e', chr(0)), ' d', chr(8232)), ' a', chr(12))"
+
+
+@query(f"WITH {_lines_sql(_MIXED)} SELECT doc_id, ordinal, byte_start, byte_end, octet_length(encode(text)) AS n_bytes, sha256(text) AS sha256 FROM lines")
+def text_lines_mixed(spark, sf_dir):
+    """Lines of texts with every kind of line end, and with U+0000 within lines."""
+
+    def body(t):
+        for old, new in ((", ", "\r"), (" th", "\r\n"), (" e", "\0"), (" d", "\u2028"), (" a", "\f")):
+            t = F.replace(t, F.lit(old), F.lit(new))
+        return t
+
+    return _text_lines(spark, sf_dir, body).select("doc_id", "ordinal", "byte_start", "byte_end", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.encode("text", "UTF-8"), 256).alias("sha256"))
+
+
 @query("""
 SELECT doc_id, CASE WHEN (crlf > 0)::INT + (lf > 0)::INT + (cr > 0)::INT = 0 THEN 'none' WHEN (crlf > 0)::INT + (lf > 0)::INT + (cr > 0)::INT > 1 THEN 'mixed' WHEN crlf > 0 THEN 'crlf' WHEN lf > 0 THEN 'lf' ELSE 'cr' END AS newline_style
 FROM (SELECT doc_id, (length(t) - length(replace(t, chr(13) || chr(10), ''))) / 2 AS crlf, length(t) - length(replace(t, chr(10), '')) - (length(t) - length(replace(t, chr(13) || chr(10), ''))) / 2 AS lf,
@@ -375,11 +410,7 @@ _ROOT = sql_stable_id("ir", """('{"document_id":"' || document_id || '","synthet
 @query(f"WITH {_LINES}, w AS (SELECT *, {_LINE_ID} AS native_id FROM lines) SELECT doc_id, {_IR('native_id', chr(39) + 'text_line' + chr(39))} AS unit_id, {_ROOT} AS parent_id, ordinal, native_id, text, false AS protected FROM w")
 def ir_projection_text(spark, sf_dir):
     """Lines as units of the tree."""
-    lines = _text_lines(spark, sf_dir)
-    units = ir.project_text(lines.drop("doc_id"))
-    # the projection keeps a row per line; ids of equal documents agree, so that the table's own key is joined by unit
-    keyed = lines.select("doc_id", "document_id", F.col("unit_id").alias("native_id"))
-    return keyed.join(units.dropDuplicates(["document_id", "native_id"]), ["document_id", "native_id"]).select("doc_id", "unit_id", "parent_id", "ordinal", "native_id", "text", "protected")
+    return ir.project_text(_text_lines(spark, sf_dir), "doc_id").select("doc_id", "unit_id", "parent_id", "ordinal", "native_id", "text", "protected")
 
 
 @query(f"""WITH {_CELLS}, k AS (SELECT 'd' || sheet AS document_id, 'w' || sheet AS worksheet_id, 'c' || cell_id AS native_id, cell_id AS ordinal, formula IS NOT NULL AS protected,
@@ -444,6 +475,24 @@ def ir_invariants(spark, sf_dir):
     return ir.broken_invariants(_tree(spark, sf_dir))
 
 
+_LOOPS = """
+u AS (SELECT CAST(l_orderkey % 500 AS VARCHAR) AS document_id, 'u' || l_partkey % 40 AS unit_id, CASE WHEN l_partkey % 40 % 8 = 0 AND l_orderkey % 3 = 0 THEN NULL WHEN l_partkey % 40 % 8 = 0 THEN 'u' || (l_partkey % 40 + l_orderkey % 500 % 8) % 40 ELSE 'u' || (l_partkey % 40 - 1) END AS parent_id FROM lineitem
+  UNION ALL SELECT CAST(s_suppkey % 500 AS VARCHAR), 'u' || s_nationkey, 'u' || (s_nationkey + 3) FROM supplier WHERE s_suppkey % 2 = 0)"""
+
+
+@query(f"""WITH RECURSIVE {_LOOPS}, e AS (SELECT DISTINCT * FROM u WHERE parent_id <> unit_id),
+w(document_id, unit_id, here) AS (SELECT document_id, unit_id, parent_id FROM e UNION SELECT w.document_id, w.unit_id, e.parent_id FROM w JOIN e ON e.document_id = w.document_id AND e.unit_id = w.here)
+SELECT document_id, unit_id FROM w WHERE here = unit_id""")
+def ir_cycles(spark, sf_dir):
+    """V2: units that are their own ancestors; repeated ids have several parents."""
+    one, order = F.col("l_partkey") % 40, F.col("l_orderkey")
+    name = lambda n: F.concat(F.lit("u"), n.cast("string"))
+    parent = F.when(one % 8 != 0, name(one - 1)).when(order % 3 != 0, name((one + order % 500 % 8) % 40))
+    rows = table(spark, sf_dir, "lineitem").select((order % 500).cast("string").alias("document_id"), name(one).alias("unit_id"), parent.alias("parent_id"))
+    more = table(spark, sf_dir, "supplier").filter("s_suppkey % 2 = 0").select((F.col("s_suppkey") % 500).cast("string").alias("document_id"), name(F.col("s_nationkey")).alias("unit_id"), name(F.col("s_nationkey") + 3).alias("parent_id"))
+    return ir.on_cycles(rows.unionByName(more))
+
+
 _CHAIN = """
 e AS (SELECT 'n' || n_nationkey AS node, CASE WHEN n_nationkey % 4 = 0 THEN 'r' || n_regionkey ELSE 'n' || (n_nationkey - 1) END AS parent FROM nation UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer)"""
 
@@ -490,6 +539,21 @@ def reference_cycles(spark, sf_dir):
     return graph.on_cycles(edges)
 
 
+@query("""WITH RECURSIVE k AS (SELECT CAST(p_partkey AS BIGINT) AS k, p_size, max(p_partkey) OVER () AS n FROM part),
+e AS (SELECT k AS node, k + 1 AS parent FROM k WHERE k % 10 <> 9 UNION SELECT k, k - k % 10 FROM k WHERE k % 10 = 7 AND 10 * k < 9 * n UNION SELECT k, k + 10 FROM k WHERE k % 10 = 3 AND k % 50 < 20 UNION SELECT k, k FROM k WHERE p_size = 7 UNION SELECT k, k + 1 FROM k WHERE k % 10 = 9 AND 10 * k >= 9 * n UNION SELECT k, k - 25 FROM k WHERE k % 100 = 48),
+r(node, there) AS (SELECT node, parent FROM e UNION SELECT r.node, e.parent FROM r JOIN e ON e.node = r.there)
+SELECT a.node, min(a.there) AS component FROM r a JOIN r b ON b.node = a.there AND b.there = a.node GROUP BY 1""")
+def reference_components(spark, sf_dir):
+    """V6: strongly connected components of references with many parents: cycles, bridges, edges to oneself, a long tail."""
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("k"), "p_size")
+    rows = rows.crossJoin(F.broadcast(rows.agg(F.max("k").alias("n"))))  # one row
+    ends = F.array_compact(F.array(
+        F.when(F.expr("k % 10 <> 9 OR 10 * k >= 9 * n"), F.col("k") + 1), F.when(F.expr("k % 10 = 7 AND 10 * k < 9 * n"), F.col("k") - F.col("k") % 10), F.when(F.expr("k % 10 = 3 AND k % 50 < 20"), F.col("k") + 10),
+        F.when(F.col("p_size") == 7, F.col("k")), F.when(F.expr("k % 100 = 48"), F.col("k") - 25),
+    ))
+    return graph.strongly_connected(rows.select(F.col("k").alias("node"), F.explode(ends).alias("parent")))
+
+
 # --- entities and edges ----------------------------------------------------------------------------------------------------
 
 _ENTITIES = """

@@ -5,13 +5,12 @@ from __future__ import annotations
 import os
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import canonical_json, stable_id
 from ..functions.scalar import safe_file_name
-from ..functions.windows import running_total
-from ..storage import kept
+from ..functions.windows import numbered, running_total
 
 COLUMNS = ["locator_id", "ordinal", "display_name", "role", "sha256", "size_bytes", "content"]
 KINDS = ["local_file", "archive", "directory", "bytes", "stream"]
@@ -39,15 +38,6 @@ def refuse_links(path: str) -> None:
         raise SymbolicLink(f"links are refused: {sorted(found)[0]}")
 
 
-def _numbered(paths: DataFrame) -> DataFrame:
-    """``paths(path, length)`` with ``ordinal`` in order of the paths: range partitions, each counted from where it starts."""
-    parted = kept(paths.repartitionByRange("path").withColumn("part", F.spark_partition_id()), "paths")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parted.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # one row per partition
-    own = F.row_number().over(Window.partitionBy("part").orderBy("path")) - 1
-    return parted.join(F.broadcast(starts), "part").select("path", "length", (F.col("start") + own).cast("long").alias("ordinal"))
-
-
 def files(spark: SparkSession, path: str, locator_id: str = "locator", role: str = "primary", most_bytes: int | None = None) -> DataFrame:
     """Artifacts of a file or of all files below a folder, in order of their paths.
 
@@ -56,7 +46,7 @@ def files(spark: SparkSession, path: str, locator_id: str = "locator", role: str
     """
     refuse_links(path)
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    ranked = _numbered(found.select("path", "length"))
+    ranked = numbered(found.select("path", "length"), ["path"], "ordinal")
     if most_bytes is not None:
         ranked = running_total(ranked, F.col("length"), "ordinal", "so_far").filter(F.col("so_far") <= most_bytes)
     rows = found.select("path", "content").join(ranked.select("path", "ordinal"), "path")

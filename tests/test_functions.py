@@ -1,11 +1,16 @@
 import base64
 import hashlib
 import json
+import random
+import time
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paperloom.functions import identity, scalar
+from paperloom.functions import identity, scalar, windows
 from paperloom.functions.ranks import STATUS, gravest
 from paperloom.functions.windows import running_total
 from paperloom.operators import graph, render, text, validate
@@ -32,7 +37,7 @@ def test_identity_agrees_everywhere(spark):
 
 
 def test_lines_match_python(spark):
-    texts = ["", "a", "a\n", "\n\n", "a\r\nb\rc\nd", "é\n漢字\r\n", "x\n\r\ny"]
+    texts = ["", "a", "a\n", "\n\n", "a\r\nb\rc\nd", "é\n漢字\r\n", "x\n\r\ny", "a\0b\nc", "\0", "a\x0bb\x0c\x1cc\x1d\x1ed\x85e\u2028f\u2029", "x\r\r\n\n" * 1000, "é\n" * 2048]
     rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "document_id string, text string")
     got = {}
     for r in text.lines(rows).orderBy("document_id", "ordinal").collect():
@@ -46,6 +51,17 @@ def test_lines_match_python(spark):
         assert got.get(str(i), []) == want
 
 
+def test_lines_take_linear_time(spark):
+    took = []
+    for n in (250_000, 500_000, 1_000_000):
+        rows = spark.range(1).select(F.lit("d").alias("document_id"), F.expr(f"repeat('a line of text\n', {n})").alias("text"))
+        began = time.perf_counter()
+        row = text.lines(rows).agg(F.count("*").alias("n"), F.max("byte_end").alias("end"), F.max("ordinal").alias("last")).first()
+        took.append(time.perf_counter() - began)
+        assert (row.n, row.end, row.last) == (n, 15 * n - 1, n - 1)
+    assert took[2] < 30 and took[2] < 4 * took[1] + 5, took
+
+
 def test_newlines_and_controls(spark):
     rows = spark.createDataFrame([("a\nb",), ("a\r\n",), ("\r",), ("a\r\n\n",), ("",), ("\x01x\x1f\x01",)], "t string")
     got = rows.select(text.newline_style(F.col("t")).alias("s"), text.control_findings(F.col("t")).alias("c")).collect()
@@ -70,7 +86,7 @@ def test_names_addresses_formulas(spark):
 
 def test_windows_ranks_graphs(spark):
     rows = spark.createDataFrame([(i, i % 7) for i in range(200)], "k long, v long")
-    got = {r.k: r.t for r in running_total(rows, F.col("v"), "k", "t", block=16).collect()}
+    got = {r.k: r.t for r in running_total(rows, F.col("v"), "k", "t").collect()}
     assert got == {k: sum(i % 7 for i in range(k + 1)) for k in range(200)}
     states = spark.createDataFrame([("a", "ok"), ("a", "error"), ("b", "review"), ("b", "ok")], "k string, s string")
     assert {r.k: r.s for r in states.groupBy("k").agg(gravest(F.col("s"), STATUS).alias("s")).collect()} == {"a": "error", "b": "review"}
@@ -112,5 +128,81 @@ def test_pointer_jumping(spark):
     got = {(r.node, r.name): r.value for r in graph.inherited(values, edges).collect()}
     assert got == {**{(i, "a"): "middle" for i in range(501)}, **{(i, "a"): "top" for i in range(501, 1001)}, **{(i, "b"): "late" for i in range(701)}, (2000, "a"): "round", (2001, "a"): "round", (2002, "a"): "round"}
     assert {r.node for r in graph.on_cycles(edges).collect()} == {2000, 2001}
-    many = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "a"), ("x", "y"), ("y", "z")], "node string, parent string")
-    assert {(r.node, r.parent) for r in graph.cyclic_core(many).collect()} == {("a", "b"), ("b", "c"), ("c", "a")}
+
+
+def components_by_closure(edges):
+    """(node, component) of the nodes on cycles, by walking from every node."""
+    after = {}
+    for a, b in edges:
+        if a is not None and b is not None:
+            after.setdefault(a, set()).add(b)
+    reach = {}
+    for a in after:
+        seen, todo = set(), list(after[a])
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += after.get(x, ())
+        reach[a] = seen
+    return {(a, min(b for b in reach[a] if a in reach.get(b, ()))) for a in after if a in reach[a]}
+
+
+def test_strongly_connected_components(spark):
+    bridge = [("A", "B"), ("B", "A"), ("B", "C"), ("C", "D"), ("D", "E"), ("E", "D"), ("F", "F"), ("F", "G"), (None, "A"), ("A", None), ("A", "B")]
+    got = {(r.node, r.component) for r in graph.strongly_connected(spark.createDataFrame(bridge, "node string, parent string")).collect()}
+    assert got == components_by_closure(bridge) == {("A", "A"), ("B", "A"), ("D", "D"), ("E", "D"), ("F", "F")}
+    rng = random.Random(4)
+    for n, m in ((40, 45), (60, 90), (30, 200)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        assert {tuple(r) for r in graph.strongly_connected(spark.createDataFrame(edges, "node long, parent long")).collect()} == components_by_closure(edges)
+    assert graph.strongly_connected(spark.createDataFrame([], "node long, parent long")).count() == 0
+
+
+def test_rounds_do_not_follow_the_longest_path(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graph, "kept", lambda df, name, real=graph.kept: (rounds.append(name), real(df, name))[1])
+    n = 2000
+    edges = [(i, i + 1) for i in range(n)] + [(n, n - 3)] + [(i, i + 1) for i in range(5000, 5000 + n)] + [(5000 + n, 5000)]
+    got = graph.strongly_connected(spark.createDataFrame(edges, "node long, parent long"))
+    assert {r.node for r in got.collect()} == {*range(n - 3, n + 1), *range(5000, 5001 + n)}
+    assert len(rounds) < n / 10, len(rounds)
+
+
+def test_running_totals_over_sparse_repeated_and_null_keys(spark):
+    rng = random.Random(9)
+    keys = [None, -(1 << 63), (1 << 63) - 1, 0, *[rng.getrandbits(63) for _ in range(150)]]
+    rows = [(rng.choice(keys), rng.choice([None, 1, 5, -2]), i) for i in range(700)] + [(7, 1, -i) for i in range(1, 300)]
+    df = spark.createDataFrame(rows, "k long, v long, i long").withColumn("x.y", F.lit(1))
+    duck = duckdb.connect()
+    duck.register("t", pa.table({c: pa.array([r[j] for r in rows], pa.int64()) for j, c in enumerate(["k", "v", "i"])}))
+    for by, order in ((["k"], "k"), (["k", "i"], "k, i")):
+        want = sorted(duck.sql(f"SELECT i, CAST(sum(coalesce(v, 0)) OVER (ORDER BY {order}) AS BIGINT) FROM t").fetchall())
+        assert sorted((r.i, r.t) for r in running_total(df, F.col("v"), by, "t").collect()) == want
+    want = sorted(duck.sql("SELECT i, row_number() OVER (PARTITION BY k ORDER BY v, i) - 1 FROM t").fetchall())
+    assert sorted((r.i, r.n) for r in windows.numbered(df, ["v", "i"], "n", within=["k"]).collect()) == want
+    assert sorted(r.n for r in windows.numbered(df, ["i"], "n").collect()) == list(range(len(rows)))
+    assert running_total(df.limit(0), F.col("v"), "k", "t").count() == 0
+
+
+def test_numbers_as_python_writes_them(spark):
+    rng = random.Random(2)
+    numbers = [0.0, -0.0, 1.0, -1.5, 100.0, 1e15, 1e16, 123456789012345680.0, 1e-4, 1e-5, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 1e22, 1e23, 2e-3, 1 / 3]
+    numbers += [round(rng.uniform(-1000, 1000), rng.randint(0, 6)) for _ in range(3000)] + [rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300) for _ in range(3000)]
+    rows = spark.createDataFrame([(x,) for x in numbers], "d double").select("d", identity.number_text(F.col("d")).alias("t")).collect()
+    assert all(float(r.t) == r.d and len(r.t) == len(repr(r.d)) for r in rows)
+    assert sum(r.t == repr(r.d) for r in rows) > 0.99 * len(rows) and all(r.t == repr(r.d) for r in rows[:17])
+
+
+def test_canonical_json_of_nested_values(spark):
+    schema = "v struct<b:int,a:string,header:struct<version:string,content_hash:string,created_at:string,more:struct<created_at:string>>,list:array<struct<z:double,y:boolean>>,by:map<string,array<int>>,deep:map<string,map<string,string>>>"
+    value = {"b": 3, "a": 'q"\u0001\x1f漢', "header": {"version": "2", "content_hash": "x", "created_at": "y", "more": {"created_at": "stays"}}, "list": [{"z": 1e-7, "y": True}, {"z": 2.0, "y": None}, None], "by": {"é": [1, None], "B": [], "a": None}, "deep": {"header": {"content_hash": "x", "k": "v"}, "other": {"content_hash": "x"}}}
+    rows = spark.createDataFrame([(value,), (None,)], schema)
+    kind = rows.schema["v"].dataType
+    got = [r[0] for r in rows.select(identity.canonical_value(F.col("v"), kind)).collect()]
+    want = {**value, "header": {"version": "2", "more": {"created_at": "stays"}}, "deep": {**value["deep"], "header": {"k": "v"}}}
+    assert got == [json.dumps(want, ensure_ascii=False, sort_keys=True, separators=(",", ":")), "null"]
+    with pytest.raises(Exception, match="finite"):
+        spark.createDataFrame([(float("nan"),)], "d double").select(identity.canonical_value(F.col("d"), T.DoubleType())).collect()
+    with pytest.raises(TypeError):
+        identity.canonical_value(F.lit(1), T.DateType())
