@@ -123,19 +123,19 @@ def content_hash(json: Column) -> Column:
     return F.sha2(F.encode(json, "UTF-8"), 256)
 
 
+#: Digits of base 32 as Spark writes numbers.
+_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+
+
 def base32_token(digest: Column, length: int = ID_LENGTH) -> Column:
-    """First characters of the base32 form of a hex digest: five bits out of every two neighbouring hex digits.
+    """First characters of the base32 form of a hex digest: eight of them out of every ten hex digits, as one number.
 
-    The digest is bound to a lambda's variable, so that it is computed once and not for every character.
+    The digest is bound to a lambda's variable, so that it is computed once and not for every number.
     """
 
     def spelled(hexes: Column) -> Column:
-        letters = []
-        for i in range(length):
-            digit, shift = 5 * i // 4, 3 - 5 * i % 4
-            pair = F.conv(F.substring(hexes, digit + 1, 2), 16, 10).cast("int")
-            letters.append(F.substr(F.lit(BASE32), F.shiftright(pair, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)))
-        return F.concat(*letters)
+        blocks = [F.lpad(F.conv(F.substring(hexes, 10 * i + 1, 10), 16, 32), 8, "0") for i in range(-(-length // 8))]
+        return F.substring(F.translate(F.concat(*blocks), _DIGITS, BASE32), 1, length)
 
     return let(digest, spelled)
 

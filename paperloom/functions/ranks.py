@@ -17,7 +17,8 @@ def rank(state: Column, order: list[str]) -> Column:
 
 
 def state_of(rank_column: Column, order: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in order]), (rank_column + 1).cast("int"))
+    # Spark takes the element of an array without nulls to be never null, whatever the place
+    return F.when(rank_column.isNotNull(), F.element_at(F.array(*[F.lit(s) for s in order]), (rank_column + 1).cast("int")))
 
 
 def gravest(state: Column, order: list[str]) -> Column:

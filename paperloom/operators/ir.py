@@ -54,6 +54,35 @@ def project_slides(shapes: DataFrame) -> DataFrame:
     return _units(shapes, kind, unit_id(F.col("document_id"), F.col("slide_id"), F.lit("slide")), F.col("shape_id"), F.col("text"), F.lit(False), F.col("ordinal"))
 
 
+# Kinds of native units by the name that the uniform tree gives them, and those that are not plain content -
+KINDS = {"line": "text_line", "run": "text_span", "row": "table_row", "section": "flow_section", "page": "fixed_page", "frame": "image_frame", "style": "style_definition", "storage": "ole_storage", "stream": "ole_stream"}
+PROTECTED = ["formula", "revision", "transition", "animation", "frame", "storage", "stream", "annotation", "style", "metadata"]
+
+
+def project(units: DataFrame) -> DataFrame:
+    """Native units of every profile as units of the tree, below their parents or the document's root.
+
+    ``units(document_id, unit_id, kind, parent_id, ordinal, text, properties)``: lines, flowing text and its tables,
+    sheets and cells, slides and shapes, fixed pages, image frames, storages and streams of compound files. Cells of
+    sheets (those with an address, the property ``at``) keep text only if they hold strings or errors; what isn't plain
+    content, or is hidden, is protected.
+    """
+    of = lambda name: F.element_at("properties", F.lit(name))
+    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    in_table = (F.col("kind") == "cell") & of("at").isNull()
+    by_kind = F.when(in_table, "table_cell").when(F.col("kind") == "annotation", F.concat(F.lit("annotation_"), F.coalesce(of("kind_of"), F.lit("comment")))).when(F.col("kind") == "revision", F.concat(F.lit("revision_"), F.coalesce(of("kind_of"), F.lit("unknown"))))
+    shape = F.when(F.col("kind") == "shape", F.when(F.col("text").isNotNull(), "text_shape").otherwise("visual_object"))
+    kind = F.coalesce(by_kind, F.element_at(names, F.col("kind")), shape, F.col("kind"))
+    hidden = (of("value_kind") == "formula") | ((F.col("kind") == "worksheet") & (of("visibility") != "visible")) | ((F.col("kind") == "slide") & (of("hidden") == "true"))
+    text = F.when((F.col("kind") == "cell") & of("at").isNotNull() & ~of("value_kind").isin("string", "error"), None).otherwise(F.col("text"))
+    d = F.col("document_id")
+    named = units.withColumn("unit_kind", kind).withColumn("is_protected", F.col("kind").isin(PROTECTED) | F.coalesce(hidden, F.lit(False))).withColumn("own_text", text)
+    ids = named.select("document_id", F.col("unit_id").alias("parent_id"), F.col("unit_kind").alias("parent_kind")).distinct()
+    rows = named.join(ids, ["document_id", "parent_id"], "left")
+    parent = F.when(F.col("parent_kind").isNull(), root_id(d)).otherwise(unit_id(d, F.col("parent_id"), F.col("parent_kind")))
+    return _units(rows, F.col("unit_kind"), parent, F.col("unit_id"), F.col("own_text"), F.col("is_protected"), F.col("ordinal"))
+
+
 def append_catalog(base: DataFrame, rows: DataFrame, kind: Column, protected: Column) -> DataFrame:
     """``rows(document_id, native_id, text)`` as units under the root, with ordinals that continue those of ``base``."""
     counts = base.groupBy("document_id").agg(F.max("ordinal").alias("__last"))

@@ -144,9 +144,10 @@ def edge_failures(edges: DataFrame, entities: DataFrame) -> DataFrame:
     broken = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), n) for n, c in rules.items()]), lambda x: x.isNotNull())
     found = [edges.select("document_id", "mapping_id", F.explode(broken).alias("rule"))]
     found.append(edges.groupBy("document_id", "mapping_id").agg(F.count("*").alias("n")).filter("n > 1").select("document_id", "mapping_id", F.lit("repeated_id").alias("rule")))
-    for side in ("source", "target"):
-        ends = entities.select("document_id", F.col("layer").alias(f"{side}_layer"), F.col("entity_id").alias(f"{side}_id"))
-        found.append(edges.join(ends, ["document_id", f"{side}_layer", f"{side}_id"], "left_anti").select("document_id", "mapping_id", F.lit(f"unknown_{side}").alias("rule")))
+    # both ends of an edge are looked up by one join
+    end = lambda side: F.struct(col(f"{side}_layer").alias("layer"), col(f"{side}_id").alias("entity_id"), F.lit(f"unknown_{side}").alias("rule"))
+    ends = edges.select("document_id", "mapping_id", F.explode(F.array(end("source"), end("target"))).alias("end")).select("document_id", "mapping_id", "end.*")
+    found.append(ends.join(entities, ["document_id", "layer", "entity_id"], "left_anti").select("document_id", "mapping_id", "rule"))
     reached = edges.select("document_id", F.col("target_layer").alias("layer"), F.col("target_id").alias("entity_id"))
     needed = entities.filter(col("layer").isin("native", "technical_ir", "geometry", "asset"))
     found.append(needed.join(reached, ["document_id", "layer", "entity_id"], "left_anti").select("document_id", F.lit(None).cast("string").alias("mapping_id"), F.concat(F.lit("unmapped_"), col("layer")).alias("rule")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import canonical_json, stable_id
-from ..functions.ranks import STATUS, gravest
+from ..functions.ranks import EXACTNESS, STATUS, gravest, rank, state_of
 from ..functions.scalar import weighted_ratio
 
 
@@ -24,6 +24,40 @@ def measurements(rows: DataFrame, keys: list[str], rendered_stage: Column | None
     )
 
 
+ROLES = ["required", "preserved", "projected", "rendered", "omitted", "approximated", "unsupported"]
+
+
+def id_facts(ids: DataFrame, members: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows for ``measurements`` and ``references``: what is known of each id of a feature, by the algebra of id sets.
+
+    ``ids(document_id, feature, stage, entity_id, narrows)`` are the ids met; ``narrows`` lists the sets that hold only
+    some of them (``required``, ``preserved``): a set that a feature doesn't narrow holds all. ``members(document_id,
+    role, entity_id)`` are those sets, and ``opaque`` and ``unsupported``, which are empty unless given.
+    ``edges(document_id, side, entity_id, exactness)`` are the edges on which an id stands, of the side ``projected`` or
+    ``rendered``; the best counts. Sets and edges are aggregated to one row per id before they are joined.
+    """
+    roles = members.select("document_id", "entity_id", "role", F.lit(None).cast("int").alias("r"))
+    sides = edges.select("document_id", "entity_id", F.col("side").alias("role"), rank(F.col("exactness"), EXACTNESS).alias("r"))
+    has = lambda name: F.bool_or(F.col("role") == name).alias(f"in_{name}")
+    best = lambda name: state_of(F.max(F.when(F.col("role") == name, F.col("r"))), EXACTNESS).alias(name)
+    known = roles.unionByName(sides).groupBy("document_id", "entity_id").agg(*[has(n) for n in ("required", "preserved", "opaque", "unsupported")], best("projected"), best("rendered"))
+    rows = ids.dropDuplicates(["document_id", "feature", "entity_id"]).join(known, ["document_id", "entity_id"], "left")
+    within = lambda name: F.coalesce(F.col(f"in_{name}"), F.lit(False))
+    narrowed = lambda name: (within(name) | ~F.array_contains("narrows", name)).alias(name)
+    return rows.select("document_id", "feature", "stage", "entity_id", narrowed("required"), narrowed("preserved"), within("opaque").alias("opaque"), within("unsupported").alias("unsupported"), "projected", "rendered")
+
+
+def references(facts: DataFrame) -> DataFrame:
+    """(document_id, feature, role, entity_id): the ids that a measurement refers to, by ROLES; a relation, no lists."""
+    weak = lambda c: F.coalesce(F.col(c).isin("approximate", "inferred"), F.lit(False))
+    holds = {
+        "required": F.col("required"), "preserved": F.col("preserved"), "projected": F.col("projected").isNotNull(), "rendered": F.col("rendered").isNotNull(), "omitted": F.col("required") & F.col("projected").isNull(),
+        "approximated": weak("projected") | (F.col("stage").isin(RENDERING_STAGES) & weak("rendered")), "unsupported": F.col("unsupported"),
+    }
+    own = F.array_compact(F.array(*[F.when(holds[r], r) for r in ROLES]))
+    return facts.select("document_id", "feature", F.explode(own).alias("role"), "entity_id")
+
+
 def axis_scores(measured: DataFrame, keys: list[str]) -> DataFrame:
     """Score per axis over its features: null where nothing is required."""
     total = measured.groupBy(*keys, "axis").agg(F.sum("exact_hits").alias("e"), F.sum("approximate_hits").alias("a"), F.sum("required").alias("t"))

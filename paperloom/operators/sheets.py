@@ -35,6 +35,19 @@ def resolved_value(type_code: Column, raw: Column, shared: Column) -> Column:
     return F.when(type_code == "s", F.coalesce(by_index, raw)).when(type_code == "b", F.when(raw == "1", "true").otherwise("false")).otherwise(raw)
 
 
+def with_shared(cells: DataFrame, strings: DataFrame, book: str = "document_id") -> DataFrame:
+    """``cells(book, code, raw, ...)`` with ``value``: as ``resolved_value``, from a table ``strings(book, place, text)``.
+
+    A join on the book and the place, however many strings a book has; a place that is none, or that no string has,
+    leaves what the cell says. Of several strings of one place the smallest counts.
+    """
+    place = F.when(F.col("code") == "s", F.col("raw").try_cast("bigint"))
+    known = strings.groupBy(F.col(book).alias("__book"), F.col("place").alias("__place")).agg(F.min("text").alias("__text"))
+    rows = cells.withColumn("__at", place).join(known, (F.col(book) == F.col("__book")) & (F.col("__at") == F.col("__place")), "left")
+    value = F.when(F.col("code") == "s", F.coalesce("__text", "raw")).when(F.col("code") == "b", F.when(F.col("raw") == "1", "true").otherwise("false")).otherwise(F.col("raw"))
+    return rows.withColumn("value", value).drop("__at", "__book", "__place", "__text")
+
+
 def tiles(cells: DataFrame) -> DataFrame:
     """Adds tile_row and tile_column to ``cells(sheet, row, column, ...)``: a range join by arithmetic alone."""
     return cells.withColumn("tile_row", F.floor((F.col("row") - 1) / TILE_ROWS)).withColumn("tile_column", F.floor((F.col("column") - 1) / TILE_COLUMNS))

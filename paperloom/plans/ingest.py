@@ -134,11 +134,6 @@ def styles(t: Tables, policy: Policy) -> DataFrame:
     return found.join(own.select("document_id", "native_style").distinct(), ["document_id", "native_style"], "left_semi")
 
 
-# Kinds of native units by the name that the uniform tree gives them, and those that are not plain content -
-KINDS = {"line": "text_line", "run": "text_span", "row": "table_row", "section": "flow_section", "page": "fixed_page", "frame": "image_frame", "style": "style_definition", "storage": "ole_storage", "stream": "ole_stream"}
-PROTECTED = ["formula", "revision", "transition", "animation", "frame", "storage", "stream", "annotation", "style", "metadata"]
-
-
 def metadata(t: Tables, policy: Policy) -> DataFrame:
     """(document_id, unit_id, namespace, name, canonical_name, value, sensitivity) of all metadata."""
     of = lambda name: F.element_at("properties", F.lit(name))
@@ -147,24 +142,9 @@ def metadata(t: Tables, policy: Policy) -> DataFrame:
 
 
 def ir_units(t: Tables, policy: Policy) -> DataFrame:
-    """The uniform tree: native units below the document's root, then relationships and resources in that order.
-
-    Cells keep text only if they hold strings or errors; what isn't plain content, or is hidden, is protected.
-    """
-    units, of = t["native_units"], lambda name: F.element_at("properties", F.lit(name))
-    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
-    in_table = (F.col("kind") == "cell") & of("at").isNull()
-    by_kind = F.when(in_table, "table_cell").when(F.col("kind") == "annotation", F.concat(F.lit("annotation_"), F.coalesce(of("kind_of"), F.lit("comment")))).when(F.col("kind") == "revision", F.concat(F.lit("revision_"), F.coalesce(of("kind_of"), F.lit("unknown"))))
-    shape = F.when(F.col("kind") == "shape", F.when(F.col("text").isNotNull(), "text_shape").otherwise("visual_object"))
-    kind = F.coalesce(by_kind, F.element_at(names, F.col("kind")), shape, F.col("kind"))
-    hidden = (of("value_kind") == "formula") | ((F.col("kind") == "worksheet") & (of("visibility") != "visible")) | ((F.col("kind") == "slide") & (of("hidden") == "true"))
-    text = F.when((F.col("kind") == "cell") & of("at").isNotNull() & ~of("value_kind").isin("string", "error"), None).otherwise(F.col("text"))
-    d = F.col("document_id")
-    named = units.withColumn("unit_kind", kind).withColumn("is_protected", F.col("kind").isin(PROTECTED) | F.coalesce(hidden, F.lit(False))).withColumn("own_text", text)
-    ids = named.select("document_id", F.col("unit_id").alias("parent_id"), F.col("unit_kind").alias("parent_kind")).distinct()
-    rows = named.join(ids, ["document_id", "parent_id"], "left")
-    parent = F.when(F.col("parent_kind").isNull(), ir.root_id(d)).otherwise(ir.unit_id(d, F.col("parent_id"), F.col("parent_kind")))
-    base = rows.select(d, ir.unit_id(d, F.col("unit_id"), F.col("unit_kind")).alias("unit_id"), F.col("unit_kind").alias("kind"), parent.alias("parent_id"), "ordinal", F.lit("native_projection").alias("origin"), F.col("unit_id").alias("native_id"), F.col("own_text").alias("text"), F.col("is_protected").alias("protected"))
+    """The uniform tree: native units below the document's root, then relationships and resources in that order."""
+    units = t["native_units"]
+    base = ir.project(units)
     decoded = units.select("document_id").distinct()
     links = t["part_relationships"].join(decoded, "document_id", "left_semi").select("document_id", F.col("relationship_id").alias("native_id"), F.col("target").alias("text"), "external")
     with_links = base.unionByName(ir.append_catalog(base, links, F.when(F.col("external"), "external_relationship").otherwise("relationship"), F.col("external")))

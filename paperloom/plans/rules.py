@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity, scalar
-from ..operators import mapping, package, quality, sheets, validate
+from ..operators import ir, mapping, package, quality, sheets, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -339,3 +339,69 @@ def json_reference_scan(spark, sf_dir):
     inner = f"concat(CASE WHEN n_nationkey % 3 > 0 THEN {one.format(i=0)} ELSE 'null' END, ',\"y\":[{{\"deep\":', CASE WHEN n_nationkey % 3 > 1 THEN {one.format(i=1)} ELSE '{{\"path\":\"no\"}}' END, '}}]')".replace("{{", "{").replace("}}", "}")
     rows = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("n_nationkey", f"concat('{{\"x\":', {inner}, '}}') AS body".replace("{{", "{").replace("}}", "}"))
     return rows.select("n_nationkey", F.posexplode(scalar.json_references(F.col("body"))).alias("position", "r")).select("n_nationkey", F.col("position").cast("long").alias("position"), "r.path", "r.contract_id")
+
+
+_IDS = Frame("lineitem", "true", document_id="l_orderkey % 200", feature="CASE l_linenumber % 3 WHEN 0 THEN 'native_core_unit' WHEN 1 THEN 'native_style' ELSE 'rendered_surface' END", stage="CASE WHEN l_linenumber % 3 = 2 THEN 'native_to_rendered' ELSE 'native_to_ir' END", entity_id="l_partkey % 60")
+_MEMBERS = Frame("lineitem", "l_suppkey % 3 = 0", document_id="l_orderkey % 200", role="CASE l_suppkey % 4 WHEN 0 THEN 'required' WHEN 1 THEN 'preserved' WHEN 2 THEN 'opaque' ELSE 'unsupported' END", entity_id="l_partkey % 60")
+_SIDES = Frame("lineitem", "l_suppkey % 3 = 1", document_id="l_orderkey % 200", side="CASE WHEN l_suppkey % 2 = 0 THEN 'projected' ELSE 'rendered' END", entity_id="l_partkey % 60", exactness="CASE l_partkey % 7 % 3 WHEN 0 THEN 'exact' WHEN 1 THEN 'approximate' ELSE 'inferred' END")
+_ID_FACTS = f"""i AS (SELECT DISTINCT * FROM {_IDS.sql}), m AS {_MEMBERS.sql}, e AS {_SIDES.sql},
+f AS (SELECT i.*, feature = 'native_core_unit' OR EXISTS (SELECT 1 FROM m WHERE m.document_id = i.document_id AND m.entity_id = i.entity_id AND role = 'required') AS required,
+  feature <> 'native_style' OR EXISTS (SELECT 1 FROM m WHERE m.document_id = i.document_id AND m.entity_id = i.entity_id AND role = 'preserved') AS preserved, EXISTS (SELECT 1 FROM m WHERE m.document_id = i.document_id AND m.entity_id = i.entity_id AND role = 'opaque') AS opaque,
+  EXISTS (SELECT 1 FROM m WHERE m.document_id = i.document_id AND m.entity_id = i.entity_id AND role = 'unsupported') AS unsupported,
+  (SELECT max(CASE exactness WHEN 'exact' THEN 3 WHEN 'approximate' THEN 2 ELSE 1 END) FROM e WHERE e.document_id = i.document_id AND e.entity_id = i.entity_id AND side = 'projected') AS p,
+  (SELECT max(CASE exactness WHEN 'exact' THEN 3 WHEN 'approximate' THEN 2 ELSE 1 END) FROM e WHERE e.document_id = i.document_id AND e.entity_id = i.entity_id AND side = 'rendered') AS r FROM i)"""
+
+
+def _id_facts(spark, sf_dir) -> DataFrame:
+    narrows = F.when(F.col("feature") == "native_core_unit", F.array().cast("array<string>")).when(F.col("feature") == "native_style", F.array(F.lit("required"), F.lit("preserved"))).otherwise(F.array(F.lit("required")))
+    return quality.id_facts(_IDS.rows(spark, sf_dir).withColumn("narrows", narrows), _MEMBERS.rows(spark, sf_dir), _SIDES.rows(spark, sf_dir))
+
+
+@query(f"""WITH {_ID_FACTS} SELECT document_id, feature, unnest(list_filter([CASE WHEN required THEN 'required' END, CASE WHEN preserved THEN 'preserved' END, CASE WHEN p IS NOT NULL THEN 'projected' END, CASE WHEN r IS NOT NULL THEN 'rendered' END, CASE WHEN required AND p IS NULL THEN 'omitted' END,
+  CASE WHEN coalesce(p < 3, false) OR (stage = 'native_to_rendered' AND coalesce(r < 3, false)) THEN 'approximated' END, CASE WHEN unsupported THEN 'unsupported' END], lambda x: x IS NOT NULL)) AS role, entity_id FROM f""")
+def feature_references(spark, sf_dir):
+    """Ids that a feature requires, preserves, projects, renders, omits, approximates, doesn't support."""
+    return quality.references(_id_facts(spark, sf_dir))
+
+
+@query(f"""WITH {_ID_FACTS} SELECT document_id, feature, count(*) AS encountered, CAST(sum(required::INT) AS BIGINT) AS required, CAST(sum(preserved::INT) AS BIGINT) AS preserved, count(p) AS projected, count(r) AS rendered, CAST(sum(opaque::INT) AS BIGINT) AS opaque,
+  CAST(sum((coalesce(p < 3, false) OR (stage = 'native_to_rendered' AND coalesce(r < 3, false)))::INT) AS BIGINT) AS approximated, CAST(sum(unsupported::INT) AS BIGINT) AS unsupported, CAST(sum((required AND p IS NULL)::INT) AS BIGINT) AS omitted FROM f GROUP BY 1, 2""")
+def feature_counters(spark, sf_dir):
+    """Counters of features from id sets and edges."""
+    return quality.measurements(_id_facts(spark, sf_dir), ["document_id", "feature"], F.col("stage").isin(quality.RENDERING_STAGES)).drop("exact_hits", "approximate_hits")
+
+
+_NATIVE_KINDS = ["line", "paragraph", "run", "table", "row", "cell", "section", "worksheet", "formula", "slide", "shape", "page", "frame", "storage", "stream", "annotation", "revision", "style", "metadata", "transition"]
+_PROFILED = Frame(
+    "lineitem", "true", document_id="'d' || CAST(l_orderkey % 100 AS STRING)", unit_id="'u' || CAST(l_orderkey * 8 + l_linenumber AS STRING)", kind=f"CASE l_partkey % {len(_NATIVE_KINDS)} " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(_NATIVE_KINDS)) + " END",
+    parent_id="CASE WHEN l_linenumber > 1 THEN 'u' || CAST(l_orderkey * 8 + l_linenumber - 1 AS STRING) WHEN l_suppkey % 3 = 0 THEN 'nowhere' END", ordinal="l_linenumber", text="CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_returnflag END",
+    cell_at="CASE WHEN l_suppkey % 2 = 0 THEN 'A' || CAST(l_linenumber AS STRING) END", value_kind="CASE l_suppkey % 6 WHEN 0 THEN 'string' WHEN 1 THEN 'formula' WHEN 2 THEN 'error' WHEN 3 THEN 'number' END", kind_of="CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE lower(l_linestatus) END", visibility="CASE WHEN l_suppkey % 4 = 0 THEN 'hidden' ELSE 'visible' END", hidden="CASE WHEN l_suppkey % 4 = 1 THEN 'true' ELSE 'false' END",
+)
+_NAMED = {"line": "text_line", "run": "text_span", "row": "table_row", "section": "flow_section", "page": "fixed_page", "frame": "image_frame", "style": "style_definition", "storage": "ole_storage", "stream": "ole_stream"}
+_TREE_ID = lambda json: identity.sql_stable_id("ir", f"({json})")
+_UNIT_JSON = """'{"document_id":"' || %s || '","kind":"' || %s || '","native_id":"' || %s || '"}'"""
+_ROOT_JSON = """'{"document_id":"' || document_id || '","synthetic":"document"}'"""
+
+
+@query(f"""WITH n AS {_PROFILED.sql},
+k AS (SELECT *, CASE {" ".join(f"WHEN kind = '{a}' THEN '{b}'" for a, b in _NAMED.items())} WHEN kind = 'cell' AND cell_at IS NULL THEN 'table_cell' WHEN kind = 'annotation' THEN 'annotation_' || coalesce(kind_of, 'comment') WHEN kind = 'revision' THEN 'revision_' || coalesce(kind_of, 'unknown') WHEN kind = 'shape' AND text IS NULL THEN 'visual_object' WHEN kind = 'shape' THEN 'text_shape' ELSE kind END AS unit_kind,
+  kind IN ('formula', 'revision', 'transition', 'animation', 'frame', 'storage', 'stream', 'annotation', 'style', 'metadata') OR coalesce(value_kind = 'formula', false) OR (kind = 'worksheet' AND visibility <> 'visible') OR (kind = 'slide' AND hidden = 'true') AS protected,
+  CASE WHEN kind = 'cell' AND cell_at IS NOT NULL AND value_kind IS NOT NULL AND value_kind NOT IN ('string', 'error') THEN NULL ELSE text END AS own_text FROM n)
+SELECT k.document_id, {_TREE_ID(_UNIT_JSON % ("k.document_id", "k.unit_kind", "k.unit_id"))} AS unit_id, k.unit_kind AS kind, CASE WHEN p.unit_id IS NULL THEN {_TREE_ID(_ROOT_JSON.replace("document_id ||", "k.document_id ||"))} ELSE {_TREE_ID(_UNIT_JSON % ("k.document_id", "p.unit_kind", "p.unit_id"))} END AS parent_id, CAST(k.ordinal AS BIGINT) AS ordinal, k.unit_id AS native_id, k.own_text AS text, k.protected
+FROM k LEFT JOIN (SELECT DISTINCT document_id, unit_id, unit_kind FROM k) p ON p.document_id = k.document_id AND p.unit_id = k.parent_id""")
+def ir_projection_profiles(spark, sf_dir):
+    """Units of all profiles (fixed pages, frames, compound files, flowing text, sheets, slides) in the tree."""
+    rows = _PROFILED.rows(spark, sf_dir)
+    properties = F.map_filter(F.create_map(*[x for c in ("cell_at", "value_kind", "kind_of", "visibility", "hidden") for x in (F.lit(c.removeprefix("cell_")), F.col(c))]), lambda k, v: v.isNotNull())
+    return ir.project(rows.withColumn("properties", properties)).drop("origin")
+
+
+_BOOK_CELLS = Frame("lineitem", "true", document_id="l_orderkey % 50", cell_id="l_orderkey * 8 + l_linenumber", code="CASE l_linenumber % 4 WHEN 0 THEN 's' WHEN 1 THEN 's' WHEN 2 THEN 'b' ELSE 'n' END", raw="CASE WHEN l_suppkey % 17 = 0 THEN NULL WHEN l_suppkey % 19 = 0 THEN 'no number' WHEN l_linenumber % 4 = 2 THEN CAST(l_suppkey % 2 AS STRING) ELSE CAST(l_partkey AS STRING) END")
+_STRINGS = Frame("part", "p_size % 10 <> 0", document_id="p_partkey % 50", place="p_partkey", text="p_name")
+
+
+@query(f"""WITH c AS {_BOOK_CELLS.sql}, s AS (SELECT document_id, place, min(text) AS text FROM {_STRINGS.sql} GROUP BY 1, 2)
+SELECT c.cell_id, CASE code WHEN 's' THEN coalesce(s.text, raw) WHEN 'b' THEN CASE WHEN raw = '1' THEN 'true' ELSE 'false' END ELSE raw END AS value FROM c LEFT JOIN s ON s.document_id = c.document_id AND code = 's' AND s.place = TRY_CAST(raw AS BIGINT)""")
+def shared_strings(spark, sf_dir):
+    """cells' shared strings by a join with their book's table of strings."""
+    return sheets.with_shared(_BOOK_CELLS.rows(spark, sf_dir), _STRINGS.rows(spark, sf_dir)).select("cell_id", "value")
