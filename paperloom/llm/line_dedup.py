@@ -96,24 +96,33 @@ class LineRuns:
         return rows.filter(F.col("n_docs") >= self.min_documents).select("h1", "h2", "last_doc")
 
 
-def batches(hashed: DataFrame, n: int | None = None) -> list[DataFrame]:
-    """The documents in n batches of about equal size, ids descending; null ids come last. n follows their number."""
+def cuts(hashed: DataFrame, n: int | None = None) -> list[int]:
+    """The ids that part the documents into n batches of about equal size, descending; n follows their number."""
     if n is None:
         n = max(LEAST_BATCHES, -(-hashed.count() // BATCH_DOCUMENTS))
-    cuts = hashed.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.02)
-    cuts = sorted({int(c) for c in cuts}, reverse=True)
-    if not cuts:
-        return [hashed]
-    doc = F.col("doc_id")
-    middle = [hashed.filter((doc <= a) & (doc > b)) for a, b in zip(cuts, cuts[1:])]
-    return [hashed.filter(doc > cuts[0]), *middle, hashed.filter((doc <= cuts[-1]) | doc.isNull())]
+    found = hashed.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.02)
+    return sorted({int(c) for c in found}, reverse=True)
+
+
+def batches(hashed: DataFrame, n: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """``hashed`` written to the shared folder, and its batches, ids descending; null ids come last.
+
+    A batch has files of its own, so that it reads these alone, however many batches there are.
+    """
+    ids = cuts(hashed, n)
+    number = F.coalesce(F.size(F.filter(F.lit(ids).cast("array<bigint>"), lambda c: F.col("doc_id") <= c)), F.lit(len(ids)))
+    path = storage.fresh_path(hashed.sparkSession, "line-hashes")
+    rows = hashed.withColumn("batch", F.when(F.col("doc_id").isNull(), len(ids)).otherwise(number))
+    rows.repartitionByRange("batch", "doc_id", "row_hash").write.partitionBy("batch").parquet(path)
+    whole = hashed.sparkSession.read.schema(rows.schema).parquet(path)
+    return whole.drop("batch"), [whole.filter(F.col("batch") == k).drop("batch") for k in range(len(ids) + 1)]
 
 
 def dedup(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` (before) and ``n_dropped``; columns of those names are replaced."""
-    hashed = storage.staged(line_hashes(docs, min_length), "line-hashes")
+    hashed, parts = batches(line_hashes(docs, min_length))
     runs = LineRuns(docs.sparkSession, min_documents)
-    for batch in batches(hashed):
+    for batch in parts:
         runs.add(batch)
     lines = hashed.select(F.col("doc_id").alias("line_doc"), "row_hash", F.posexplode("hashes").alias("pos", "h")).filter("h IS NOT NULL")
     lines = lines.select("line_doc", "row_hash", "pos", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
@@ -123,7 +132,7 @@ def dedup(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MI
     own = docs.drop("kept_text", "n_lines", "n_dropped", "row_hash", "line_doc", "dropped_lines")
     hidden = [c for c in docs.columns if c in ("row_hash", "line_doc", "dropped_lines")]
     text = storage.text_or_empty()
-    keyed = docs.select(F.xxhash64("doc_id", text).alias("row_hash"), F.col("doc_id").cast("long").alias("line_key"), F.struct(*[F.col(c) for c in [*own.columns, *hidden]]).alias("kept_row"))
+    keyed = docs.select(F.xxhash64("doc_id", text).alias("row_hash"), F.col("doc_id").cast("long").alias("line_key"), F.struct(*[F.col(f"`{c}`") for c in [*own.columns, *hidden]]).alias("kept_row"))
     joined = keyed.join(dropped, (keyed.row_hash == dropped.row_hash) & keyed.line_key.eqNullSafe(dropped.line_doc), "left")
     lines = F.split(F.coalesce(F.col("kept_row.text"), F.lit("")), "\n", -1)
     n_lines = F.size(lines).cast("long")

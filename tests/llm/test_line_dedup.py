@@ -48,10 +48,10 @@ def test_odd_rows(spark, odd_documents, frame):
     line = "A common line of this corpus, É"
     rows = [(i, f"{line}\nown {i}\n  {line.lower().replace('é', 'É')}\t\n", i % 2) for i in range(40)]
     rows += [(None, line, 0), (39, line, 1), (39, line, 1), (100, "short\nshort", 0), (101, "short", 0), (102, "short\n\n", 0), (50, line.lower(), 5), (7, f"x\n{line}", 0), (41, "", 0), (42, None, 0)]
-    docs = frame(rows, "doc_id long, text string, n_lines int").selectExpr("*", "1 AS h1", "2 AS pos", "3 AS row_hash", "4 AS line_doc")
+    docs = frame(rows, "doc_id long, text string, n_lines int").selectExpr("*", "1 AS h1", "2 AS pos", "3 AS row_hash", "4 AS line_doc", "5 AS `a.b`", "6 AS batch")
     got = line_dedup.dedup(docs)
     assert digest(got) == brute([(a, b) for a, b, _ in rows])
-    assert set(docs.columns) <= set(got.columns) and {r.row_hash for r in got.collect()} == {3}
+    assert set(docs.columns) <= set(got.columns) and {(r.row_hash, r['a.b'], r.batch) for r in got.collect()} == {(3, 5, 6)}
     assert digest(line_dedup.dedup(odd_documents)) == brute([(r.doc_id, r.text) for r in odd_documents.collect()])
     assert line_dedup.dedup(frame([], "doc_id long, text string")).count() == 0
 
@@ -69,7 +69,7 @@ def test_runs_merge_without_shuffle_and_compacted_ones_meet_batches(spark, frame
     rows = [(i, f"a line that many hold {i % 7} of them\nand a line of its own, number {i}") for i in range(60)]
     hashed = line_dedup.line_hashes(frame(rows, "doc_id long, text string"))
     runs, met = line_dedup.LineRuns(spark, fanout=2), []
-    for batch in line_dedup.batches(hashed):
+    for batch in line_dedup.batches(hashed)[1]:
         met.append([len(level) for level in runs.levels])
         runs.add(batch)
     assert len(met) == line_dedup.LEAST_BATCHES and any(sum(levels[1:]) for levels in met)
@@ -79,3 +79,19 @@ def test_runs_merge_without_shuffle_and_compacted_ones_meet_batches(spark, frame
     scan = plan[plan.index("SortMergeJoin") :].rsplit("+-", 1)
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan, scan
     assert {r.last_doc for r in runs.frequent().collect()} == set(range(53, 60))
+
+
+def test_each_batch_reads_its_own_files(spark, frame):
+    rows = [(None if i % 50 == 7 else (i * 7919) % 3000, f"line of text number {i % 40} that is long") for i in range(3000)]
+    whole, parts = line_dedup.batches(line_dedup.line_hashes(frame(rows, "doc_id long, text string").repartition(8)), 5)
+    seen, last = set(), None
+    for part in parts:
+        files = {r[0] for r in part.select(F.input_file_name()).distinct().collect()}
+        assert files and not files & seen and all("/batch=" in f for f in files)
+        assert re.search(r"PartitionFilters: \[isnotnull\(batch#\d+\), \(batch#\d+ = \d\)\]", part._jdf.queryExecution().executedPlan().toString())
+        seen |= files
+        ids = [r.doc_id for r in part.select("doc_id").collect()]
+        known = [i for i in ids if i is not None]
+        assert last is None or max(known) < last
+        last = min(known)
+    assert None in ids and whole.count() == len(rows) == sum(p.count() for p in parts)
