@@ -5,15 +5,18 @@ import duckdb
 from paperloom.llm import decontamination, storage
 
 
-def shingles(text):
+def shingles(text, shorter=()):
     w = re.findall(r"[^\W_]+", (text or "").lower())
-    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    runs = lambda n: {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)}
+    own = runs(5) if len(w) >= 5 else {" ".join(w)} if w else set()
+    return own.union(*[runs(n) for n in shorter if len(w) > n])
 
 
 def brute(docs, items, least=0.8):
+    shorter = {len(s.split()) for _, x in items for s in shingles(x)} - {5}
     out = set()
     for d, t in docs:
-        own = shingles(t)
+        own = shingles(t, shorter)
         for i, x in items:
             s = shingles(x)
             if s and len(s & own) / len(s) >= least:
@@ -48,7 +51,7 @@ def test_partial_copies_in_long_texts(spark, frame, monkeypatch):
         assert {(r.doc_id, r.item_id, r.n_shingles, r.n_matched) for r in got} == want
     kept = decontamination.clean(d, b)
     assert kept.columns == d.columns
-    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted((x, t) for x, t in docs if not any(brute([(x, t)], items)) )
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted((x, t) for x, t in docs if not brute([(x, t)], [(i, y) for i, y in items if len((y or '').split()) >= 3]) and (t or '').lower() != 'w0')
 
 
 def test_empty_tables(spark, frame):
@@ -56,3 +59,18 @@ def test_empty_tables(spark, frame):
     one, item = frame([(1, "a b c d e f")], "doc_id long, text string"), frame([(1, "a b c d e f")], "item_id long, text string")
     assert decontamination.contained(d, item).count() == decontamination.contained(one, b).count() == 0
     assert decontamination.clean(one, b).count() == 1 and decontamination.clean(one, item).count() == 0
+
+
+def test_short_items_inside_long_documents(spark, frame):
+    items = [(1, "capital of france"), (2, "Paris"), (3, "the answer is forty two"), (4, "two words")]
+    docs = [(1, "What is the capital of France, please tell me now"), (2, "capital of france"), (3, "Paris in spring is nice to see"), (4, "capital of, well, france and so on and on"), (5, "paris!"), (6, "these two words"), (7, "so the answer is forty two"), (8, "two, words")]
+    d, b = frame(docs, "doc_id long, text string").selectExpr("*", "1 AS `a.b`"), frame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contained(d, b).collect()}
+    assert got == {(1, 1), (2, 1), (3, 2), (5, 2), (6, 4), (8, 4), (7, 3)} == {x[:2] for x in brute(docs, items)}
+    assert {r.doc_id for r in decontamination.clean(d, b).collect()} == {3, 4, 6}
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.sql("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    assert set(con.sql(f"SELECT doc_id, item_id FROM ({decontamination.ORACLE})").fetchall()) == got
