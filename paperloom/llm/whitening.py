@@ -9,7 +9,7 @@ rows ``C``, and Spark adds up the tasks' sums by entry. After each pass Rayleigh
 whose residuals bound the error of a component by residual over gap. When that is within ``TOLERANCE`` for all, they
 are the components; if it isn't after ``PASSES`` passes (no gap behind the block), the block is expanded to all
 directions, which gives the whole covariance. What reaches the driver is a matrix of at most dimension x dimension, with
-the dimension bounded by ``MOST_DIMENSIONS``; the model is one for all rows.
+the dimension bounded by ``MOST_DIMENSIONS`` (longer vectors raise an error); the model is one for all rows.
 
 The distinct vectors are written to the shared folder once; copies are aggregated before they are shuffled, so that a
 vector that a third of the rows share arrives once per task.
@@ -132,8 +132,8 @@ def moments(fit: DataFrame, d: int) -> tuple[int, list[int]]:
     return rows[0].n, [int(r.total) for r in sorted(rows)]
 
 
-def _summed(fit: DataFrame, d: int, entries) -> dict[tuple[int, int], float]:
-    """The sums over all tasks of the matrices that ``entries(x)`` gives, by place."""
+def _summed(fit: DataFrame, d: int, entries, rows: int, columns: int) -> np.ndarray:
+    """The sum over all tasks of the matrices that ``entries(x)`` gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -145,12 +145,10 @@ def _summed(fit: DataFrame, d: int, entries) -> dict[tuple[int, int], float]:
             i, j = np.indices(total.shape, np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], names=["i", "j", "v"])
 
-    rows = storage.in_arrow(fit.select("x"), run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
-    return {(r.i, r.j): r.v for r in rows.collect()}
-
-
-def _as_matrix(found: dict[tuple[int, int], float], rows: int, columns: int) -> np.ndarray:
-    return np.array([[found[i, j] for j in range(columns)] for i in range(rows)])
+    found = storage.in_arrow(fit.select("x"), run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros((rows, columns))
+    out[found["i"].to_numpy(), found["j"].to_numpy()] = found["v"].to_numpy()
+    return out
 
 
 def multiplied(fit: DataFrame, n: int, sums: list[int], q: np.ndarray) -> tuple[np.ndarray, float]:
@@ -163,7 +161,7 @@ def multiplied(fit: DataFrame, n: int, sums: list[int], q: np.ndarray) -> tuple[
         last[0, 0] = (c * c).sum()
         return np.vstack([c.T @ (c @ q), last])
 
-    found = _as_matrix(_summed(fit, d, entries), d + 1, width) / n
+    found = _summed(fit, d, entries, d + 1, width) / n
     return found[:d], float(found[d, 0])
 
 
@@ -208,7 +206,7 @@ def identity_error(fit: DataFrame, model: Model) -> float:
         z = centred(x, model.n, model.sums) @ projection
         return np.vstack([z.T @ z, z.sum(axis=0)[None, :]])
 
-    found = _as_matrix(_summed(fit, len(model.sums), entries), k + 1, k) / model.n
+    found = _summed(fit, len(model.sums), entries, k + 1, k) / model.n
     return float(np.abs(found[:k] - np.outer(found[k], found[k]) - np.eye(k)).max())
 
 
