@@ -26,6 +26,10 @@ PLACEHOLDER = "[{}]"
 MARKS = ["document_id", "surface_kind", "surface_ordinal", "owner_id", "unit_id", "slot", "text", "x", "y", "width", "height", "is_clipped"]
 
 
+#: Surfaces that one slide or sheet may have: an ordinal is its owner's, times this, and the surface's own.
+PLACES = 1_000_000_000
+
+
 def profile_kind(formats: Column, family: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in PROFILES.items() for x in pair])
     return F.when(family == "raster", "raster").otherwise(F.coalesce(F.element_at(table, formats), F.lit("unknown")))
@@ -50,7 +54,7 @@ def slide_marks(units: DataFrame) -> DataFrame:
     boxed = render.boxes(render.paginate_words(rows.select(own.alias("document_id"), "ordinal", "unit_id", "text"), render.SLIDE), render.SLIDE)
     parts = F.split("document_id", "\u001f")
     placed = boxed.select(parts[0].alias("document_id"), parts[1].alias("owner_id"), "unit_id", "page", "slot", F.col("segment").alias("text"), "x", "y", "width", "height").join(slides, ["document_id", "owner_id"])
-    return placed.select("document_id", F.lit("slide").alias("surface_kind"), (F.col("slide") * 1000 + F.col("page")).cast("long").alias("surface_ordinal"), "owner_id", "unit_id", "slot", "text", "x", "y", "width", "height", F.lit(False).alias("is_clipped"))
+    return placed.select("document_id", F.lit("slide").alias("surface_kind"), (F.col("slide") * PLACES + F.col("page")).cast("long").alias("surface_ordinal"), "owner_id", "unit_id", "slot", "text", "x", "y", "width", "height", F.lit(False).alias("is_clipped"))
 
 
 def tile_marks(units: DataFrame) -> DataFrame:
@@ -66,7 +70,7 @@ def tile_marks(units: DataFrame) -> DataFrame:
     placed = cells.join(extent.withColumn("cell_width", width).withColumn("cell_height", height), keys).withColumn("most", most)
     cut = F.length("value") > F.col("most")
     text = F.when(cut, F.concat(F.expr("substring(value, 1, CAST(most - 1 AS int))"), F.lit("…"))).otherwise(F.col("value"))
-    tile = F.col("sheet_ordinal") * 1_000_000_000 + F.col("tile_row") * 10_000 + F.col("tile_column")
+    tile = F.col("sheet_ordinal") * PLACES + F.col("tile_row") * 10_000 + F.col("tile_column")
     slot = F.row_number().over(Window.partitionBy(*keys).orderBy("row", "column", "unit_id")) - 1  # row by row
     return placed.select(
         "document_id", F.lit("tile").alias("surface_kind"), tile.cast("long").alias("surface_ordinal"), "owner_id", "unit_id", slot.cast("long").alias("slot"), text.alias("text"),
@@ -94,7 +98,7 @@ def surfaces(found: DataFrame, units: DataFrame) -> DataFrame:
     drawn = found.groupBy("document_id", "surface_kind", "surface_ordinal").agg(F.min("owner_id").alias("owner_id"))
     owners = units.filter("kind IN ('worksheet', 'slide')")
     empty = owners.join(drawn.select("document_id", F.col("owner_id").alias("unit_id")), ["document_id", "unit_id"], "left_anti")
-    ordinal = F.when(F.col("kind") == "slide", F.col("ordinal") * 1000).otherwise(F.col("ordinal") * 1_000_000_000)
+    ordinal = F.col("ordinal") * PLACES
     empty = empty.select("document_id", F.when(F.col("kind") == "slide", "slide").otherwise("tile").alias("surface_kind"), ordinal.alias("surface_ordinal"), F.col("unit_id").alias("owner_id"))
     previews = drawn.unionByName(empty).select("*", size(0).alias("width"), size(1).alias("height"), F.lit("px").alias("unit"), F.lit("approximate").alias("fidelity"))
     is_page = F.col("kind") == "page"
