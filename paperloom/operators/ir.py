@@ -104,12 +104,14 @@ def on_cycles(units: DataFrame) -> DataFrame:
     several parents need strongly connected components.
     """
     node = lambda c: F.struct("document_id", F.col(c).alias("unit_id"))
-    edges = units.filter("parent_id IS NOT NULL AND parent_id <> unit_id").select("document_id", node("unit_id").alias("node"), node("parent_id").alias("parent"))
-    several = kept(edges.groupBy("document_id", "node").agg(F.min("parent").alias("low"), F.max("parent").alias("high")).filter("low <> high").select("document_id").distinct(), "several-parents")
+    edges = units.filter("document_id IS NOT NULL AND unit_id IS NOT NULL AND parent_id <> unit_id").select("document_id", "unit_id", "parent_id")
+    pointers = kept(edges.groupBy("document_id", "unit_id").agg(F.min("parent_id").alias("parent_id"), F.max("parent_id").alias("last")), "parents")
+    several = kept(pointers.filter("parent_id <> last").select("document_id").distinct(), "several-parents")
+    ends = lambda rows: rows.select(node("unit_id").alias("node"), node("parent_id").alias("parent"))
     if several.isEmpty():
-        found = graph.on_cycles(edges)
+        found = graph.pointer_cycles(ends(pointers))
     else:
-        found = graph.on_cycles(edges.join(several, "document_id", "left_anti")).unionByName(graph.strongly_connected(edges.join(several, "document_id", "left_semi")).select("node"))
+        found = graph.pointer_cycles(ends(pointers.join(several, "document_id", "left_anti"))).unionByName(graph.strongly_connected(ends(edges.join(several, "document_id", "left_semi"))).select("node"))
     return found.select("node.document_id", "node.unit_id")
 
 
