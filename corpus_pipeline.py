@@ -28,8 +28,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies."""
-    return simhash_dedup.distinct_documents(docs)
+    """Keeps one document of each group of near copies, by SimHash fingerprints of whole texts and by shared shingles."""
+    return simhash_dedup.distinct_documents(docs, fingerprints=True)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ fingerprint are compared with the first and the last of them, which ties most gr
 that meet and are not in one component yet are searched for by their rarest shingles, and those are compared that no
 bound on sizes, places or marks rules out (see ``rest``). What is left is decided by the exact similarity, for which
 the texts are read again. Fingerprints of whole texts don't prune: no number of differing bits follows from a similarity.
+With ``fingerprints``, documents whose whole fingerprints differ in at most ``simhash.RADIUS`` bits are tied as well, by
+the search of ``simhash``; that is how the pipeline calls it.
 
 Documents whose words are the same collapse first, so that the size of a group of copies never matters; no step
 gathers a group in one task.
@@ -23,7 +25,7 @@ gives no rows. Extra columns pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +81,7 @@ def marks(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], whole_too: bool = False) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
@@ -90,11 +92,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tags, fps = bag_fingerprints(distinct)
             whole = xxhash.xxh128_digest(words)
             c1, c2 = np.frombuffer(whole, "<i8").tolist()
-            rows.append({"doc_id": doc_id, "row_hash": row_hash, "c1": c1, "c2": c2, "n": len(distinct), "marks": marks(distinct).tolist(), "bags": [{"tag": t, "bag_fp": f} for t, f in zip(tags.tolist(), fps.tolist())]})
-        yield pa.RecordBatch.from_pylist(rows, pa.schema([*[(c, pa.int64()) for c in ("doc_id", "row_hash", "c1", "c2", "n")], ("marks", pa.list_(pa.int64())), ("bags", pa.list_(pa.struct([("tag", pa.int64()), ("bag_fp", pa.int64())])))]))
+            rows.append({"doc_id": doc_id, "row_hash": row_hash, "c1": c1, "c2": c2, "fp": simhash._signed(simhash.fingerprint(simhash.shingle_hashes(text, simhash.SHINGLE))) if whole_too else 0, "n": len(distinct), "marks": marks(distinct).tolist(), "bags": [{"tag": t, "bag_fp": f} for t, f in zip(tags.tolist(), fps.tolist())]})
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([*[(c, pa.int64()) for c in ("doc_id", "row_hash", "c1", "c2", "fp", "n")], ("marks", pa.list_(pa.int64())), ("bags", pa.list_(pa.struct([("tag", pa.int64()), ("bag_fp", pa.int64())])))]))
 
 
-SIGNATURES = "doc_id long, row_hash long, c1 long, c2 long, n long, marks array<long>, bags array<struct<tag:long,bag_fp:long>>"
+SIGNATURES = "doc_id long, row_hash long, c1 long, c2 long, fp long, n long, marks array<long>, bags array<struct<tag:long,bag_fp:long>>"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,13 +188,22 @@ def similar(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: flo
     return storage.staged(storage.in_arrow(full.select("u", "v", "su", "sv"), _compared(similarity), "u long, v long"), "copy-links")
 
 
-def grouped(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def fingerprint_links(nodes: DataFrame) -> DataFrame:
+    """(u, v) that tie just the documents ``nodes(node, fp)`` which whole fingerprints within the radius tie."""
+    holders = storage.staged(nodes.groupBy("fp").agg(F.min("node").alias("holder")), "copy-fingerprints")
+    same = nodes.join(holders, "fp").filter("node <> holder").select(F.col("node").alias("u"), F.col("holder").alias("v"))
+    near = simhash.links(holders.select(F.col("fp").alias("node"), "fp"))
+    near = near.join(holders.select(F.col("fp").alias("u"), F.col("holder").alias("a")), "u").join(holders.select(F.col("fp").alias("v"), F.col("holder").alias("b")), "v")
+    return storage.staged(same.unionByName(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "copy-links")
+
+
+def grouped(docs: DataFrame, similarity: float = SIMILARITY, fingerprints: bool = False) -> DataFrame:
     """(doc_id, row_hash, component) of every row; equal rows may come more than once."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_hash"), "text")
-    signed = storage.staged(storage.in_arrow(rows, _signatures, SIGNATURES), "copy-signatures")
+    signed = storage.staged(storage.in_arrow(rows, partial(_signatures, whole_too=fingerprints), SIGNATURES), "copy-signatures")
     surrogate = F.lit(NO_ID) + F.pmod(F.xxhash64("c1", "c2"), F.lit(NO_ID))
-    nodes = signed.groupBy("c1", "c2").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("least"), F.first("n").alias("n"), F.first("marks").alias("marks"), F.first("bags").alias("bags"))
-    nodes = storage.staged(nodes.select("c1", "c2", F.col("least.doc_id").alias("doc_id"), F.col("least.row_hash").alias("row_hash"), F.coalesce("least.doc_id", surrogate).alias("node"), "n", "marks", "bags"), "copy-nodes")
+    nodes = signed.groupBy("c1", "c2").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("least"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("marks").alias("marks"), F.first("bags").alias("bags"))
+    nodes = storage.staged(nodes.select("c1", "c2", F.col("least.doc_id").alias("doc_id"), F.col("least.row_hash").alias("row_hash"), F.coalesce("least.doc_id", surrogate).alias("node"), "fp", "n", "marks", "bags"), "copy-nodes")
     # rows of one id may differ in their words: each class needs a number of its own
     twice = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node")
     if not twice.isEmpty():
@@ -200,6 +211,8 @@ def grouped(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         shared = nodes.join(twice, "node", "left_semi").select(*[surrogate.alias("node") if c == "node" else F.col(c) for c in nodes.columns])
         nodes = storage.staged(alone.unionByName(shared), "copy-nodes")
     links = similar(storage.staged(candidates(nodes, similarity), "copy-candidates"), nodes, rows, similarity)
+    if fingerprints:
+        links = links.unionByName(fingerprint_links(nodes.select("node", "fp")))
     # most of a group is now one component, and only pairs across components are left to look at
     parts = connected_components(links)
     placed = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -210,10 +223,10 @@ def grouped(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return signed.select("doc_id", "row_hash", "c1", "c2").join(named, ["c1", "c2"]).select("doc_id", "row_hash", "component")
 
 
-def distinct_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def distinct_documents(docs: DataFrame, similarity: float = SIMILARITY, fingerprints: bool = False) -> DataFrame:
     """``docs`` with one row of each group of near copies."""
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash"))
-    kept = grouped(docs, similarity).groupBy("component").agg(least.alias("least"))
+    kept = grouped(docs, similarity, fingerprints).groupBy("component").agg(least.alias("least"))
     kept = storage.staged(kept.select(F.col("least.doc_id").alias("keep_doc"), F.col("least.row_hash").alias("keep_row")), "copies-kept")
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), F.col("doc_id").cast("long").alias("doc"), F.xxhash64("doc_id", "text").alias("row"))
     found = own.join(kept, (F.col("row") == F.col("keep_row")) & F.col("doc").eqNullSafe(F.col("keep_doc")), "left_semi")
