@@ -5,8 +5,9 @@ twelve pitch classes per frame; filters over a window of frames (sums over areas
 quantized to two bits each and packed into one 32-bit integer per window.
 
 Alignment: recordings with equal fingerprints collapse first. Every two neighbouring integers are a key; each recording
-that holds a key is compared with the first recording that holds it, so that the work follows the number of integers
-and never the pairs of a group. For each such couple the offsets at which keys agree are counted, the fullest offset
+that holds a key is compared with the first recording that holds it, which ties most of a group together; then all
+other pairs that share a key across the groups found so far are compared, if an offset at which a key agrees leaves a
+common stretch long enough, so that no group falls apart by what its first holder is. For each such couple the offsets at which keys agree are counted, the fullest offset
 wins, and at that offset the share of differing bits over the common stretch decides. Linked recordings form a group,
 named by its smallest id.
 
@@ -177,6 +178,31 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("u", pa.int64()), ("v", pa.int64()), ("offset", pa.int32()), ("bit_error", pa.float64())]))
 
 
+def compared(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(u, v, offset, bit_error) of the couples ``met(u, v, offset)``, a row per key, that are aligned at their fullest
+    offset."""
+    histogram = met.groupBy("u", "v", "offset").agg(F.count("*").alias("n"))
+    best = histogram.groupBy("u", "v").agg(F.max(F.struct("n", -F.abs("offset"), "offset")).alias("best")).select("u", "v", F.col("best.offset").alias("offset"))
+    ints = nodes.select("node", "ints")
+    pairs = best.join(ints.select(F.col("node").alias("u"), F.col("ints").alias("iu")), "u").join(ints.select(F.col("node").alias("v"), F.col("ints").alias("iv")), "v")
+    return storage.staged(storage.in_arrow(pairs.select("u", "v", "offset", "iu", "iv"), _aligned, "u long, v long, offset int, bit_error double"), "alignments")
+
+
+def across(keys: DataFrame, placed: DataFrame) -> DataFrame:
+    """(u, v, offset) for every key that recordings of different components share, where the offset leaves a common
+    stretch that may be aligned; ``placed(node, component, size)``."""
+    own = keys.join(placed, "node")
+    mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    many = storage.staged(own.join(mixed, "key"), "alignment-keys")
+    a = many.select("key", F.struct("node", "at", "component", "size").alias("a"))
+    b = many.select("key", F.struct("node", "at", "component", "size").alias("b"))
+    offset = F.col("b.at") - F.col("a.at")
+    stretch = F.least("a.size", F.col("b.size") - offset) - F.greatest(F.lit(0), -offset)
+    enough = stretch >= F.greatest(F.lit(LEAST_COMMON), F.least("a.size", "b.size") * F.lit(COVER))
+    met = a.join(b, "key").filter((F.col("a.node") > F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & enough)
+    return met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), offset.alias("offset"))
+
+
 def align(recordings: DataFrame) -> DataFrame:
     """For ``recordings(id, payload)``: (id, n_ints, ints, group_id, aligned_with, offset, bit_error), a row each.
 
@@ -196,12 +222,13 @@ def align(recordings: DataFrame) -> DataFrame:
     keys = storage.in_arrow(nodes.select("node", "ints"), _keys, "key long, node long, at int")
     first = keys.groupBy("key").agg(F.min(F.struct("node", "at")).alias("first"), F.max("node").alias("last")).filter("first.node < last").select("key", F.col("first.node").alias("v"), F.col("first.at").alias("at_v"))
     met = keys.join(first, "key").filter("node <> v").select(F.col("node").alias("u"), "v", (F.col("at_v") - F.col("at")).alias("offset"))
-    histogram = met.groupBy("u", "v", "offset").agg(F.count("*").alias("n"))
-    best = histogram.groupBy("u", "v").agg(F.max(F.struct("n", -F.abs("offset"), "offset")).alias("best")).select("u", "v", F.col("best.offset").alias("offset"))
-    ints = nodes.select("node", "ints")
-    pairs = best.join(ints.select(F.col("node").alias("u"), F.col("ints").alias("iu")), "u").join(ints.select(F.col("node").alias("v"), F.col("ints").alias("iv")), "v")
-    links = storage.staged(storage.in_arrow(pairs.select("u", "v", "offset", "iu", "iv"), _aligned, "u long, v long, offset int, bit_error double"), "alignments")
+    links = compared(met, nodes)
     parts = connected_components(links.select("u", "v"))
+    more = across(keys, nodes.join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.floor(F.octet_length("ints") / 4).cast("int").alias("size")))
+    more = compared(more, nodes)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        parts = connected_components(links.select("u", "v"))
     nearest = links.groupBy(F.col("u").alias("node")).agg(F.min(F.struct("bit_error", "v", "offset")).alias("near"))
     own = nodes.select("c1", "c2", "node", "least").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = own.groupBy("component").agg(F.min("least").alias("group_id"))
