@@ -7,9 +7,11 @@ quantized to two bits each and packed into one 32-bit integer per window.
 Alignment: recordings with equal fingerprints collapse first. Every two neighbouring integers are a key; each recording
 that holds a key is compared with the first recording that holds it, which ties most of a group together; then all
 other pairs that share a key across the groups found so far are compared, if an offset at which a key agrees leaves a
-common stretch long enough, so that no group falls apart by what its first holder is. For each such couple the offsets at which keys agree are counted, the fullest offset
-wins, and at that offset the share of differing bits over the common stretch decides. Linked recordings form a group,
-named by its smallest id.
+common stretch long enough, so that no group falls apart by what its first holder is. Most of these are ruled out where
+they meet: the integers around the key already differ in more bits than the whole stretch may, so that no link is lost
+and few short couples but those that are aligned are written. For each couple the offsets at which keys agree (and are not ruled
+out) are counted, the fullest offset wins, and at that offset the share of differing bits over the common stretch
+decides. Linked recordings form a group, named by its smallest id.
 
 Nulls and odd rows: null, empty and short recordings have no integers and are alone unless they are equal; bytes that
 look like a WAV file and are none are taken as samples. Null ids never name a group unless it has no ids at all (then
@@ -45,6 +47,10 @@ BIT_ERRORS = 0.15
 LEAST_COMMON = 4
 #: Share of the shorter recording that the common stretch must cover.
 COVER = 0.5
+#: Integers on either side of a shared key that rule out couples before their whole stretch is compared; even.
+AROUND = 32
+#: Holders of one key that a task compares with all its others.
+HOLDERS = 1000
 NO_ID = 1 << 62
 SLICE_BYTES = 1 << 20
 
@@ -188,18 +194,50 @@ def compared(met: DataFrame, nodes: DataFrame) -> DataFrame:
     return storage.staged(storage.in_arrow(pairs.select("u", "v", "offset", "iu", "iv"), _aligned, "u long, v long, offset int, bit_error double"), "alignments")
 
 
-def across(keys: DataFrame, placed: DataFrame) -> DataFrame:
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The recordings' keys with the integers around each: ``l`` those before it, ``r`` those behind it, the nearest
+    first, two in a number; zero beyond the ends."""
+    names = [f"{side}{i}" for side in "lr" for i in range(AROUND // 2)]
+    margin = np.zeros(AROUND, np.uint32)
+    for batch in batches:
+        for node, component, keys, raw in zip(*(batch[c] for c in ("node", "component", "keys", "ints"))):
+            x = np.concatenate([margin, np.frombuffer(raw.as_py(), "<u4"), margin])
+            for a in range(0, len(keys), 4096):
+                held = keys.values.slice(a, 4096)
+                n, at = len(held), held.field("at").to_numpy(zero_copy_only=False)[:, None]
+                near = np.concatenate([x[at + np.arange(AROUND - 1, -1, -1)], x[at + np.arange(AROUND + 2, 2 * AROUND + 2)]], 1).view("<i8")
+                own = [pa.array(np.full(n, v, np.int64)) for v in (node.as_py(), component.as_py(), len(x) - 2 * AROUND)]
+                yield pa.RecordBatch.from_arrays([*own, held.field("key"), held.field("at"), held.field("shards"), *(pa.array(near[:, i]) for i in range(len(names)))], names=["node", "component", "size", "key", "at", "shards", *names])
+
+
+def across(shared: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
     """(u, v, offset) for every key that recordings of different components share, where the offset leaves a common
-    stretch that may be aligned; ``placed(node, component, size)``."""
-    own = keys.join(placed, "node")
-    mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    many = storage.staged(own.join(mixed, "key"), "alignment-keys")
-    a = many.select("key", F.struct("node", "at", "component", "size").alias("a"))
-    b = many.select("key", F.struct("node", "at", "component", "size").alias("b"))
+    stretch that may be aligned: one long enough, with no more bits differing in the AROUND integers on either side of
+    the key than the whole stretch may have. ``shared(key, node, at)``, ``parts(node, component)``.
+
+    A key's holders are dealt over tasks by HOLDERS of them.
+    """
+    component = F.coalesce("component", "node").alias("component")
+    own = shared.join(parts, "node", "left").select("key", "node", "at", component)
+    mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / HOLDERS).cast("int").alias("shards")).filter("low < high").select("key", "shards")
+    held = own.join(mixed, "key").groupBy("node", "component").agg(F.collect_list(F.struct("key", "at", "shards")).alias("keys"))
+    held = held.join(nodes.select("node", "ints"), "node")
+    wide = [f"{side}{i}" for side in "lr" for i in range(AROUND // 2)]
+    many = storage.staged(storage.in_arrow(held, _windows, f"node long, component long, size long, key long, at int, shards int, {', '.join(f'{x} long' for x in wide)}"), "alignment-keys")
+    every = F.struct("node", "at", "component", "size", *wide)
+    a = many.select("key", F.explode(F.expr("sequence(0, shards - 1)")).alias("shard"), every.alias("a"))
+    b = many.select("key", F.pmod(F.xxhash64("node"), "shards").cast("int").alias("shard"), every.alias("b"))
     offset = F.col("b.at") - F.col("a.at")
-    stretch = F.least("a.size", F.col("b.size") - offset) - F.greatest(F.lit(0), -offset)
-    enough = stretch >= F.greatest(F.lit(LEAST_COMMON), F.least("a.size", "b.size") * F.lit(COVER))
-    met = a.join(b, "key").filter((F.col("a.node") > F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & enough)
+    left, right = F.least("a.at", "b.at"), F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at")) - 2
+    stretch = left + right + 2
+    differing = F.lit(0)
+    for side, reach in (("l", left), ("r", right)):
+        for i in range(AROUND // 2):
+            bits = F.col(f"a.{side}{i}").bitwiseXOR(F.col(f"b.{side}{i}"))
+            first = bits.bitwiseAND(F.lit(0xFFFFFFFF))
+            differing += F.when(reach >= 2 * i + 2, F.bit_count(bits)).when(reach == 2 * i + 1, F.bit_count(first)).otherwise(0)
+    enough = (stretch >= F.greatest(F.lit(LEAST_COMMON), F.least("a.size", "b.size") * F.lit(COVER))) & (differing <= stretch * F.lit(32 * BIT_ERRORS))
+    met = a.join(b, ["key", "shard"]).filter((F.col("a.node") > F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & enough)
     return met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), offset.alias("offset"))
 
 
@@ -221,11 +259,10 @@ def align(recordings: DataFrame) -> DataFrame:
         nodes = storage.staged(alone.unionByName(shared), "recordings")
     keys = storage.in_arrow(nodes.select("node", "ints"), _keys, "key long, node long, at int")
     first = keys.groupBy("key").agg(F.min(F.struct("node", "at")).alias("first"), F.max("node").alias("last")).filter("first.node < last").select("key", F.col("first.node").alias("v"), F.col("first.at").alias("at_v"))
-    met = keys.join(first, "key").filter("node <> v").select(F.col("node").alias("u"), "v", (F.col("at_v") - F.col("at")).alias("offset"))
-    links = compared(met, nodes)
+    shared = storage.staged(keys.join(first, "key"), "shared-keys")
+    links = compared(shared.filter("node <> v").select(F.col("node").alias("u"), "v", (F.col("at_v") - F.col("at")).alias("offset")), nodes)
     parts = connected_components(links.select("u", "v"))
-    more = across(keys, nodes.join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.floor(F.octet_length("ints") / 4).cast("int").alias("size")))
-    more = compared(more, nodes)
+    more = compared(across(shared.select("key", "node", "at"), nodes, parts), nodes)
     if not more.isEmpty():
         links = links.unionByName(more)
         parts = connected_components(links.select("u", "v"))

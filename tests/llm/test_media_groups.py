@@ -16,3 +16,17 @@ def test_recordings_whose_keys_all_have_other_first_holders_are_grouped(spark):
     assert keys(10) & keys(11) <= keys(1) | keys(2) | keys(3) | keys(4)
     assert {i: found[i].group_id for i in found} == {1: 1, 2: 2, 3: 3, 4: 4, 10: 10, 11: 10, 12: 12}
     assert (found[11].aligned_with, found[11].offset) == (10, 0)
+
+
+def test_recordings_that_share_a_passage_only_are_ruled_out_where_they_meet(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    noise = lambda n: rng.integers(0, 256, n, dtype=np.uint8).tobytes()
+    passage = noise(1600)
+    rows = [(i, bytearray(noise(64 * 30) + passage + noise(64 * 30))) for i in range(40)]
+    rows += [(100 + i, bytearray(bytes(rows[i][1]) + noise(64 * 4))) for i in (3, 7)]
+    met, compared = [], media.compared
+    monkeypatch.setattr(media, "HOLDERS", 8)  # a key's holders are dealt over several tasks
+    monkeypatch.setattr(media, "compared", lambda pairs, nodes: met.append(pairs.select("u", "v").distinct().count()) or compared(pairs, nodes))
+    groups = {r.id: r.group_id for r in media.align(spark.createDataFrame(rows, "id long, payload binary")).collect()}
+    assert groups == {i: i for i in range(40)} | {103: 3, 107: 7}
+    assert met[1] < len(rows)  # all pairs of the passage's holders: 861
