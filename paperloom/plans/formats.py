@@ -10,7 +10,8 @@ import io
 import struct
 import zipfile
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import canonical_json, stable_id
 from ..sources import containers, native, probe
+from ..sources.containers import byte_bound
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,7 +71,7 @@ def docx(text: str, author: str = "nobody") -> bytes:
     })
 
 
-def xlsx(cells: list[tuple[str, str]], formula: str | None = None) -> bytes:
+def xlsx(cells: Iterable[tuple[str, str]], formula: str | None = None) -> bytes:
     """Inline strings at their addresses, and one formula with a cached value."""
     own = "".join(f'<c r="{a}" t="inlineStr"><is><t>{_safe(v)}</t></is></c>' for a, v in cells)
     own += f'<c r="ZZ1"><f>{_safe(formula)}</f><v>30</v></c>' if formula else ""
@@ -138,16 +140,30 @@ def compound(stream: bytes) -> bytes:
     return head + struct.pack("<128I", *fat) + directory + stream.ljust(n * 512, b"\0")
 
 
+#: Bytes of built files that a task holds before it hands them on.
+FILE_BYTES = 1 << 20
+
+
+def built(build: Callable[[dict], bytes], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files that ``build`` makes of rows; neither all rows of a batch nor all its files are held at once."""
+    for batch in batches:
+        ids, made, size = [], [], 0
+        for i in range(len(batch)):
+            row = batch.slice(i, 1).to_pylist()[0]
+            ids.append(row["id"])
+            made.append(build(row))
+            del row
+            size += len(made[-1])
+            if size >= FILE_BYTES or i + 1 == len(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(made, pa.binary())], names=["id", "content"])
+                ids, made, size = [], [], 0
+
+
 def artifacts(rows: DataFrame, build: Callable[[dict], bytes], name: str) -> DataFrame:
     """Artifact rows whose bytes ``build`` makes of each row; ``rows`` has an ``id``."""
     fields = rows.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [build(r) for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(made, pa.binary())], names=["id", "content"])
-
-    made = rows.select(*fields).mapInArrow(run, "id long, content binary")
+    byte_bound(rows)
+    made = rows.select(*fields).mapInArrow(partial(built, build), "id long, content binary")
     made = made.select("id", "content", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("long").alias("size_bytes"), F.concat(F.col("id").cast("string"), F.lit("." + name)).alias("display_name"))
     document = stable_id("document", canonical_json(role=F.lit("primary"), sha256=F.col("sha256")))
     return made.select(F.concat(F.lit("artifact_"), F.col("id").cast("string")).alias("artifact_id"), document.alias("document_id"), "display_name", "sha256", "size_bytes", "content")
@@ -167,7 +183,7 @@ def word_files(spark, sf_dir) -> DataFrame:
 
 def sheet_files(spark, sf_dir) -> DataFrame:
     rows = _table(spark, sf_dir, "part").groupBy(F.crc32(F.encode("p_brand", "UTF-8")).alias("id")).agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))).alias("cells"))
-    return artifacts(rows, lambda r: xlsx([(f"A{c['p_partkey'] + 1}", c["p_name"]) for c in r["cells"]], "SUM(A1:A9)*NOW()"), "xlsx")
+    return artifacts(rows, lambda r: xlsx(((f"A{c['p_partkey'] + 1}", c["p_name"]) for c in r["cells"]), "SUM(A1:A9)*NOW()"), "xlsx")
 
 
 def slide_files(spark, sf_dir) -> DataFrame:

@@ -115,3 +115,30 @@ def test_json_walks(spark):
     assert got == {(1, "", "p", "[2]", "null"), (1, "/in/a~1b/0", "1", "", "c")}
     assert {(r.n, r.reference) for r in json_tree.string_references(rows, "n", F.col("body"), ["ids", "in"]).collect()} == {(6, "x"), (6, "y")}
     assert json_tree.references(rows.filter("n = 3"), "n", F.col("body")).columns == ["n", "pointer", "path", "sha256", "schema_id", "schema_version", "contract_id"]
+
+
+def test_built_files_are_handed_on_before_a_batch_is_through():
+    import pyarrow as pa
+
+    from paperloom.plans import formats
+
+    made = []
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(200), pa.int64())})
+    files = formats.built(lambda r: made.append(r["id"]) or bytes(1 << 16), iter([batch]))
+    first = next(files)
+    assert len(made) == len(first) == formats.FILE_BYTES >> 16 < 200
+    assert [*first["id"].to_pylist(), *(i for f in files for i in f["id"].to_pylist())] == list(range(200)) == made
+
+
+def test_units_of_a_document_are_packed():
+    import tracemalloc
+
+    from paperloom.plans import formats
+    from paperloom.sources import native
+
+    data = formats.xlsx((f"A{i}", f"cell {i}") for i in range(1, 30_001))
+    tracemalloc.start()
+    units = native.packed("xlsx", "d", data)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sum(1 for u in units if u["kind"] == "cell") == 30_000 and held < 20 << 20, (held, most)
