@@ -126,3 +126,35 @@ def test_odd_rows(odd_documents, frame):
     assert toxicity.score(odd_documents.limit(0), trained).count() == 0
     all_toxic = frame([(i, 0, 1) for i in range(9)], "doc_id long, quality int, toxic int")
     assert toxicity.fit(odd_documents, all_toxic).constant == 1.0
+
+
+def test_rows_beyond_the_start_are_learnt_from(spark, frame, monkeypatch):
+    rng = np.random.default_rng(1)
+    calm = [f"calm{i}" for i in range(300)]
+    ids = [r.id for r in spark.range(3000).selectExpr("id", "xxhash64(id) AS h").orderBy("h").collect()]
+    rows, labels = [], []
+    for place, i in enumerate(ids):
+        words = list(rng.choice(calm, rng.integers(5, 60)))
+        toxic = int(rng.random() < 0.3)
+        if toxic:  # the word of most toxic rows is in none of smallest hash
+            words[rng.integers(len(words))] = "vilest" if place < 900 else "grimmest"
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, 1, toxic))
+    docs, labelled = frame(rows, "doc_id long, text string, lang string"), frame(labels, "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_POSITIVE", 150)
+    monkeypatch.setattr(toxicity, "SAMPLE_NEGATIVE", 300)
+    model = toxicity.fit(docs.repartition(3), labelled)
+    got = toxicity.score(docs, model).filter(toxicity.fold() == 2).collect()
+    found = {word: np.mean([r.toxicity >= 0.3 for r in got if word in r.text.split()]) for word in ("vilest", "grimmest")}
+    assert found["grimmest"] > 0.95 and found["vilest"] > 0.95, found
+    assert np.mean([r.toxicity >= 0.3 for r in got if not {"vilest", "grimmest"} & set(r.text.split())]) < 0.05
+    assert set(model.thresholds) == {"en"}
+
+
+def test_gradients_of_long_texts_are_the_same_in_pieces(monkeypatch):
+    model = tiny_model()
+    table, words, bounds = toxicity.split_words(pa.array(["a b c d e f g h", "e f", "g a b h i k l m n"]))
+    wanted, weight = np.array([1, 0, 1]), np.array([1.0, 2.0, 0.5])
+    whole = toxicity._gradients(model, table, words, bounds, wanted, weight)
+    monkeypatch.setattr(toxicity, "STEP", 3)
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(whole, toxicity._gradients(model, table, words, bounds, wanted, weight)))
