@@ -60,15 +60,15 @@ class Value:
 
 def _of(v: Column, steps: Column, use) -> Column:
     """``use(Value)`` with the value's parts computed once."""
-    kind = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
-
     def bound(x: Column) -> Column:
         return use(Value(x["v"], x["steps"], x["kind"], x["object"], x["list"]))
 
-    parts = let(F.struct(v.alias("v"), steps.alias("steps"), kind.alias("kind")), lambda x: F.struct(
-        x["v"].alias("v"), x["steps"].alias("steps"), x["kind"].alias("kind"),
-        F.when(x["kind"] == "OBJECT", F.try_variant_get(x["v"], "$", "map<string,variant>")).alias("object"),
-        F.when(x["kind"] == "ARRAY", F.try_variant_get(x["v"], "$", "array<variant>")).alias("list"),
+    # the schema of an object or a list would be that of all it holds, at every level again
+    held = F.struct(v.alias("v"), steps.alias("steps"), F.try_variant_get(v, "$", "map<string,variant>").alias("object"), F.try_variant_get(v, "$", "array<variant>").alias("list"))
+    parts = let(held, lambda x: F.struct(
+        x["v"].alias("v"), x["steps"].alias("steps"),
+        F.when(x["object"].isNotNull(), "OBJECT").when(x["list"].isNotNull(), "ARRAY").otherwise(F.regexp_extract(F.schema_of_variant(x["v"]), "^[A-Z]+", 0)).alias("kind"),
+        x["object"].alias("object"), x["list"].alias("list"),
     ))
     # errors are lists: flattening binds the parts as taking the first would, without asking for the body's type at each row
     return F.flatten(F.transform(F.array(parts), bound))
@@ -334,4 +334,5 @@ def failures(rows: DataFrame, key: str, document: Column, schema: dict, registry
     parsed = rows.select(F.col(key), F.try_parse_json(document).alias("__v"))
     none = F.array(F.struct(F.lit("/").alias("path"), F.lit("json").alias("rule"), F.lit(None).cast("string").alias("detail")))
     found = parsed.select(key, F.when(F.col("__v").isNull(), none).otherwise(errors(F.col("__v"), schema, registry)).alias("__e"))
-    return found.select(key, F.explode("__e").alias("__e")).select(key, "__e.path", "__e.rule", "__e.detail")
+    # the outer explode adds no filter on the errors below it, which would have them searched for three times
+    return found.select(key, F.explode_outer("__e").alias("__e")).filter("__e IS NOT NULL").select(key, "__e.path", "__e.rule", "__e.detail")

@@ -104,3 +104,11 @@ def test_no_json_and_depth(spark):
 def test_unknown_keywords_raise(spark, keyword):
     with pytest.raises(ValueError):
         json_schema.errors(F.lit(None).cast("variant"), {keyword: {}})
+
+
+def test_errors_are_searched_for_once(spark):
+    rows = spark.range(3).select("id", F.lit('{"id": 1}').alias("body"))
+    found = json_schema.failures(rows, "id", F.col("body"), {"type": "object", "properties": {"id": {"type": "string"}}})
+    assert sorted(map(tuple, found.collect())) == [(i, "/id", "type", "string") for i in range(3)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_sort") == 1, plan
