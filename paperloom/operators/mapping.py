@@ -141,8 +141,9 @@ def edge_failures(edges: DataFrame, entities: DataFrame) -> DataFrame:
         "unknown_relation": first.isNull(), "source_of_relation": first != col("source_layer"), "target_of_relation": second != col("target_layer"), "unknown_exactness": ~col("exactness").isin(EXACTNESS), "confidence_range": ~col("confidence").between(0, 1),
         "exact_confidence": (col("exactness") == "exact") & (col("confidence") < 1), "inferred_confidence": (col("exactness") == "inferred") & (col("confidence") >= 1), "own_id": col("mapping_id") != mapping_id(),
     }
-    broken = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), n) for n, c in rules.items()]), lambda x: x.isNotNull())
-    found = [edges.select("document_id", "mapping_id", F.explode(broken).alias("rule"))]
+    # a plain array: filtered as a list, its rules and the ids' hashes are interpreted, and evaluated for an inferred filter too
+    broken = F.array(*[F.when(F.coalesce(c, F.lit(False)), n) for n, c in rules.items()])
+    found = [edges.select("document_id", "mapping_id", F.explode(broken).alias("rule")).filter("rule IS NOT NULL")]
     found.append(edges.groupBy("document_id", "mapping_id").agg(F.count("*").alias("n")).filter("n > 1").select("document_id", "mapping_id", F.lit("repeated_id").alias("rule")))
     # both ends of an edge are looked up by one join
     end = lambda side: F.struct(col(f"{side}_layer").alias("layer"), col(f"{side}_id").alias("entity_id"), F.lit(f"unknown_{side}").alias("rule"))

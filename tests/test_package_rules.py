@@ -41,3 +41,14 @@ def test_references_are_shuffled_once_and_count_once(spark):
     assert rules(found) == Counter({("reference_hash", "1", "o > a"): 1, ("reference_header", "1", "o > a"): 1, ("reference_undeclared", "1", "o > a"): 1, ("reference_unresolved", "1", "o > b"): 1, ("reference_unresolved", "1", "p > n"): 1, ("reference_undeclared", "1", "p > n"): 1, ("reference_unresolved", "1", "p > d"): 1})
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("owner") and sum("LogicalRDD [run_id" in line and "owner" in line for line in plan.splitlines()) == 1
+
+
+def test_rules_of_edges_are_evaluated_once(spark):
+    from paperloom.operators import mapping
+
+    edge = spark.createDataFrame([("d", "m", "odd", "native", "", "technical_ir", "t", "exact", 0.5, "x", None)], "document_id string, mapping_id string, relation string, source_layer string, source_id string, target_layer string, target_id string, exactness string, confidence double, method string, producer string")
+    known = spark.createDataFrame([("d", "technical_ir", "t"), ("d", "native", "n")], "document_id string, layer string, entity_id string")
+    found = mapping.edge_failures(edge, known)
+    want = ["empty_source", "exact_confidence", "no_producer", "own_id", "unknown_relation", "unknown_source", "unmapped_native"]
+    assert sorted(r.rule for r in found.collect()) == want
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
