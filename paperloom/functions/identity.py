@@ -127,23 +127,25 @@ def content_hash(json: Column) -> Column:
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 
-def base32_token(digest: Column, length: int = ID_LENGTH) -> Column:
+def base32_token(digest: Column, length: int = ID_LENGTH, bound: bool = True) -> Column:
     """First characters of the base32 form of a hex digest: eight of them out of every ten hex digits, as one number.
 
-    The digest is bound to a lambda's variable, so that it is computed once and not for every number.
+    The digest is bound to a lambda's variable, so that it is computed once and not for every number. What a lambda holds
+    is interpreted: where the token is always needed (not within a branch), Spark finds the shared digest itself, and
+    compiles it if it isn't ``bound``.
     """
 
     def spelled(hexes: Column) -> Column:
         blocks = [F.lpad(F.conv(F.substring(hexes, 10 * i + 1, 10), 16, 32), 8, "0") for i in range(-(-length // 8))]
         return F.substring(F.translate(F.concat(*blocks), _DIGITS, BASE32), 1, length)
 
-    return let(digest, spelled)
+    return let(digest, spelled) if bound else spelled(digest)
 
 
-def stable_id(prefix: str, json: Column, length: int = ID_LENGTH) -> Column:
+def stable_id(prefix: str, json: Column, length: int = ID_LENGTH, bound: bool = True) -> Column:
     if not prefix or not prefix[0].isalpha():
         raise ValueError("a prefix starts with a letter")
-    return F.concat(F.lit(prefix + "_"), base32_token(content_hash(json), length))
+    return F.concat(F.lit(prefix + "_"), base32_token(content_hash(json), length, bound))
 
 
 def sql_stable_id(prefix: str, json: str, length: int = ID_LENGTH) -> str:

@@ -13,12 +13,20 @@ from . import graph
 UNIT_COLUMNS = ["document_id", "unit_id", "kind", "parent_id", "ordinal", "origin", "native_id", "text", "protected"]
 
 
+def _unit_json(document: Column, native: Column, kind: Column) -> Column:
+    return canonical_json(document_id=document, kind=kind, native_id=native)
+
+
+def _root_json(document: Column) -> Column:
+    return canonical_json(document_id=document, synthetic=F.lit("document"))
+
+
 def unit_id(document: Column, native: Column, kind: Column) -> Column:
-    return stable_id("ir", canonical_json(document_id=document, kind=kind, native_id=native))
+    return stable_id("ir", _unit_json(document, native, kind), bound=False)
 
 
 def root_id(document: Column) -> Column:
-    return stable_id("ir", canonical_json(document_id=document, synthetic=F.lit("document")))
+    return stable_id("ir", _root_json(document), bound=False)
 
 
 def roots(documents: DataFrame) -> DataFrame:
@@ -79,7 +87,8 @@ def project(units: DataFrame) -> DataFrame:
     named = units.withColumn("unit_kind", kind).withColumn("is_protected", F.col("kind").isin(PROTECTED) | F.coalesce(hidden, F.lit(False))).withColumn("own_text", text)
     ids = named.select("document_id", F.col("unit_id").alias("parent_id"), F.col("unit_kind").alias("parent_kind")).distinct()
     rows = named.join(ids, ["document_id", "parent_id"], "left")
-    parent = F.when(F.col("parent_kind").isNull(), root_id(d)).otherwise(unit_id(d, F.col("parent_id"), F.col("parent_kind")))
+    # one hash of either text: within a branch it would be computed for every part of the id
+    parent = stable_id("ir", F.when(F.col("parent_kind").isNull(), _root_json(d)).otherwise(_unit_json(d, F.col("parent_id"), F.col("parent_kind"))), bound=False)
     return _units(rows, F.col("unit_kind"), parent, F.col("unit_id"), F.col("own_text"), F.col("is_protected"), F.col("ordinal"))
 
 

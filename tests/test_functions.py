@@ -206,3 +206,14 @@ def test_canonical_json_of_nested_values(spark):
         spark.createDataFrame([(float("nan"),)], "d double").select(identity.canonical_value(F.col("d"), T.DoubleType())).collect()
     with pytest.raises(TypeError):
         identity.canonical_value(F.lit(1), T.DateType())
+
+
+def test_unit_ids_are_compiled_and_hashed_once(spark):
+    from paperloom.operators import ir
+
+    rows = spark.createDataFrame([("d", "u1", "line", None, 0, "x"), ("d", "u2", "line", "u1", 1, "y"), ("d", "u3", "line", "gone", 2, "z")], "document_id string, unit_id string, kind string, parent_id string, ordinal int, text string")
+    found = ir.project(rows.withColumn("properties", F.create_map().cast("map<string,string>")))
+    got = {r.native_id: r for r in found.collect()}
+    root = ir.roots(rows).first().unit_id
+    assert got["u1"].parent_id == got["u3"].parent_id == root and got["u2"].parent_id == got["u1"].unit_id
+    assert "lambda" not in found.select("unit_id", "parent_id")._jdf.queryExecution().optimizedPlan().toString()
