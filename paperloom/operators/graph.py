@@ -89,6 +89,25 @@ def on_cycles(edges: DataFrame) -> DataFrame:
     return pointer_cycles(known.groupBy("node").agg(F.min("parent").alias("parent")))
 
 
+def on_cycles_within(edges: DataFrame, group: str) -> DataFrame:
+    """(group, node) of the nodes that lead back to themselves; edges (group, node, parent) stay within their group.
+
+    Groups whose nodes have one parent each are followed by doubling pointers; only those in which a node has several
+    need strongly connected components.
+    """
+    within = lambda rows: rows.select(F.struct(group, "node").alias("node"), F.struct(group, F.col("parent").alias("node")).alias("parent"))
+    known = edges.filter("node IS NOT NULL AND parent IS NOT NULL").select(group, "node", "parent")
+    pointers = kept(known.groupBy(group, "node").agg(F.min("parent").alias("parent"), F.max("parent").alias("last")), "parents")
+    several = kept(pointers.filter("parent <> last").select(F.struct(group).alias("several")).distinct(), "several-parents")  # of a struct, so that null is a group
+    if several.isEmpty():
+        found = pointer_cycles(within(pointers))
+    else:
+        marked = lambda rows: rows.withColumn("several", F.struct(group))
+        single, other = _shuffled(marked(pointers), several, "several", "left_anti"), _shuffled(marked(known), several, "several", "left_semi")
+        found = pointer_cycles(within(single)).unionByName(strongly_connected(within(other)).select("node"))
+    return found.select("node.*")
+
+
 def _trimmed(edges: DataFrame) -> DataFrame:
     """The edges from nodes that something leads to, to nodes that lead on: no other lies on a cycle."""
     entered = edges.select(F.col("parent").alias("node")).distinct()

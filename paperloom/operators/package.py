@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import canonical_json, stable_id
 from ..functions.ranks import STATUS, gravest, rank, state_of
 from ..functions.scalar import is_portable_path
-from .graph import strongly_connected
+from .graph import on_cycles_within
 
 CHECK = ["run_id", "document_id", "rule", "kind", "code", "level", "blocking", "subject"]
 
@@ -97,9 +97,8 @@ def verified_input_failures(expected: DataFrame, stored: DataFrame, major: str =
 
 def cycle_failures(references: DataFrame) -> DataFrame:
     """Owners among ``references(run_id, owner, path)`` that references lead back to."""
-    node = lambda c: F.struct("run_id", F.col(c).alias("name"))
-    found = strongly_connected(references.select(node("owner").alias("node"), node("path").alias("parent")))
-    return _found(found.select("node.run_id", F.col("node.name").alias("owner")), "reference_cycle", F.col("owner"))
+    found = on_cycles_within(references.select("run_id", F.col("owner").alias("node"), F.col("path").alias("parent")), "run_id")
+    return _found(found.select("run_id", F.col("node").alias("owner")), "reference_cycle", F.col("owner"))
 
 
 def changed_failures(before: DataFrame, after: DataFrame, rule: str) -> DataFrame:

@@ -53,3 +53,20 @@ def test_a_long_chain_of_many_parents_takes_few_rounds(spark, monkeypatch):
     rows = spark.createDataFrame(edges, "node long, parent long")
     assert {r.node: r.component for r in graph.strongly_connected(rows).collect()} == brute(edges)
     assert len(written) <= 60, written
+
+
+def test_groups_of_single_parents_need_no_components(spark, monkeypatch):
+    from paperloom.operators import package
+
+    monkeypatch.setattr(graph, "strongly_connected", None)
+    rows = spark.range(2_000).selectExpr("nullif(id div 10, 7) AS run_id", "id AS owner", "CASE WHEN id % 10 = 9 THEN id - 4 WHEN id % 10 = 1 THEN id ELSE id + 1 END AS path")
+    got = {(r.run_id, r.subject) for r in package.cycle_failures(rows).collect()}
+    assert got == {(None if i // 10 == 7 else str(i // 10), str(i)) for i in range(2_000) if i % 10 >= 5 or i % 10 == 1}
+
+
+def test_groups_with_several_parents_are_found_too(spark):
+    from paperloom.operators import package
+
+    rows = spark.createDataFrame([(1, "a", "b"), (1, "b", "a"), (1, "b", "c"), (1, "c", "d"), (None, "a", "b"), (None, "a", "c"), (None, "c", "a"), (2, "a", "b"), (2, "b", "b"), (2, None, "a")], "run_id int, owner string, path string")
+    got = {(r.run_id, r.subject) for r in package.cycle_failures(rows).collect()}
+    assert got == {("1", "a"), ("1", "b"), (None, "a"), (None, "c"), ("2", "b")}
