@@ -6,12 +6,11 @@ quantized to two bits each and packed into one 32-bit integer per window.
 
 Alignment: recordings with equal fingerprints collapse first. Every two neighbouring integers are a key; each recording
 that holds a key is compared with the first recording that holds it, which ties most of a group together; then all
-other pairs that share a key across the groups found so far are compared, if an offset at which a key agrees leaves a
-common stretch long enough, so that no group falls apart by what its first holder is. Most of these are ruled out where
-they meet: the integers around the key already differ in more bits than the whole stretch may, so that no link is lost
-and few short couples but those that are aligned are written. For each couple the offsets at which keys agree (and are not ruled
-out) are counted, the fullest offset wins, and at that offset the share of differing bits over the common stretch
-decides. Linked recordings form a group, named by its smallest id.
+other pairs that share a key across the groups found so far are compared where they meet, over the whole common stretch
+at that offset, so that no group falls apart by what its first holder is and only aligned couples are written. For each
+couple the fullest offset wins (the one at which most keys agree; across groups, of the offsets that are aligned), and at
+that offset the share of differing bits over the common stretch decides. Linked recordings form a group, named by its
+smallest id.
 
 Nulls and odd rows: null, empty and short recordings have no integers and are alone unless they are equal; bytes that
 look like a WAV file and are none are taken as samples. Null ids never name a group unless it has no ids at all (then
@@ -47,10 +46,11 @@ BIT_ERRORS = 0.15
 LEAST_COMMON = 4
 #: Share of the shorter recording that the common stretch must cover.
 COVER = 0.5
-#: Integers on either side of a shared key that rule out couples before their whole stretch is compared; even.
-AROUND = 32
-#: Holders of one key that a task compares with all its others.
+#: Holders of one key that meet at once; more are dealt over tasks in blocks of about as many.
 HOLDERS = 1000
+#: Couples and integers that are compared at once.
+COUPLES = 1 << 19
+COMPARED = 1 << 21
 NO_ID = 1 << 62
 SLICE_BYTES = 1 << 20
 
@@ -151,10 +151,11 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node, at): the first place of every pair of neighbouring integers in a recording."""
+    """(key, node, at, before): the first place of every pair of neighbouring integers in a recording, and the integer
+    before it; -1 where there is none, or where the pair that begins with it has an earlier place."""
     for batch in batches:
         for a in range(0, len(batch), 500):
-            keys, nodes, places = [], [], []
+            keys, nodes, places, earlier = [], [], [], []
             for node, raw in zip(batch["node"][a : a + 500].to_pylist(), batch["ints"][a : a + 500].to_pylist()):
                 x = np.frombuffer(raw, "<u4").astype(np.uint64)
                 if len(x) > 1:
@@ -162,8 +163,11 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys.append(key.view(np.int64))
                     places.append(at.astype(np.int32))
                     nodes.append(np.full(len(key), node, np.int64))
+                    before = np.full(len(x), -1, np.int64)
+                    before[at + 1] = x[at]
+                    earlier.append(before[at])
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, places)], names=["key", "node", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, places, earlier)], names=["key", "node", "at", "before"])
 
 
 def bit_error(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
@@ -185,60 +189,88 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compared(met: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(u, v, offset, bit_error) of the couples ``met(u, v, offset)``, a row per key, that are aligned at their fullest
-    offset."""
-    histogram = met.groupBy("u", "v", "offset").agg(F.count("*").alias("n"))
-    best = histogram.groupBy("u", "v").agg(F.max(F.struct("n", -F.abs("offset"), "offset")).alias("best")).select("u", "v", F.col("best.offset").alias("offset"))
+    """(u, v, offset, bit_error) of the couples ``met(u, v, offset, n)``, n keys agreeing at an offset, that are aligned
+    at their fullest offset."""
+    best = met.groupBy("u", "v").agg(F.max(F.struct("n", -F.abs("offset"), "offset")).alias("best")).select("u", "v", F.col("best.offset").alias("offset"))
     ints = nodes.select("node", "ints")
     pairs = best.join(ints.select(F.col("node").alias("u"), F.col("ints").alias("iu")), "u").join(ints.select(F.col("node").alias("v"), F.col("ints").alias("iv")), "v")
     return storage.staged(storage.in_arrow(pairs.select("u", "v", "offset", "iu", "iv"), _aligned, "u long, v long, offset int, bit_error double"), "alignments")
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The recordings' keys with the integers around each: ``l`` those before it, ``r`` those behind it, the nearest
-    first, two in a number; zero beyond the ends."""
-    names = [f"{side}{i}" for side in "lr" for i in range(AROUND // 2)]
-    margin = np.zeros(AROUND, np.uint32)
+def _pieces(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs whose sizes add up to ``most`` at most; a larger one is a run of its own."""
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, "right")))
+        yield a, b
+        a = b
+
+
+def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... as many as its size says, for each."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _couples(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """(u, v, offset, n) of the aligned couples among rows of whole cells; n keys agree there."""
+    key, cell, within, block, node, component, at = (rows[c].to_numpy() for c in ("key", "cell", "within", "block", "node", "component", "at"))
+    raw = rows["ints"].to_pylist()
+    x, size = np.frombuffer(b"".join(raw), "<u4"), np.array([len(r) // 4 for r in raw], np.int64)
+    at, bounds, own = at.astype(np.int64), np.cumsum(size) - size, np.arange(len(key))
+    start = np.maximum.accumulate(np.where(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]), own, 0))
+    for a, b in _pieces(own - start, COUPLES):
+        i, j = np.repeat(own[a:b], (own - start)[a:b]), _runs(start[a:b], (own - start)[a:b])
+        lo = np.minimum(at[i], at[j])
+        stretch = lo + np.minimum(size[i] - at[i], size[j] - at[j])
+        met = (component[i] != component[j]) & (within[i] | (block[i] != block[j])) & (stretch >= np.maximum(LEAST_COMMON, COVER * np.minimum(size[i], size[j])))
+        i, j, lo, stretch = i[met], j[met], lo[met], stretch[met]
+        for c, d in _pieces(stretch, COMPARED):
+            u, v, m = i[c:d], j[c:d], stretch[c:d]
+            bits = np.bitwise_count(x[_runs(bounds[u] + at[u] - lo[c:d], m)] ^ x[_runs(bounds[v] + at[v] - lo[c:d], m)])
+            first = np.cumsum(m) - m
+            good = np.add.reduceat(bits, first, dtype=np.int64) / (32 * m) <= BIT_ERRORS
+            if good.any():
+                agree = np.append((bits[:-1] == 0) & (bits[1:] == 0), False)
+                agree[first[1:] - 1] = False  # of two couples
+                n = np.add.reduceat(agree, first, dtype=np.int64)[good]
+                u, v = u[good], v[good]
+                u, v = np.where(node[u] > node[v], u, v), np.where(node[u] > node[v], v, u)
+                yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v]), pa.array((at[v] - at[u]).astype(np.int32)), pa.array(n)], names=["u", "v", "offset", "n"])
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_couples`` of rows that come in order of their cells; a cell that goes on in the next batch waits for it."""
+    waiting = None
     for batch in batches:
-        for node, component, keys, raw in zip(*(batch[c] for c in ("node", "component", "keys", "ints"))):
-            x = np.concatenate([margin, np.frombuffer(raw.as_py(), "<u4"), margin])
-            for a in range(0, len(keys), 4096):
-                held = keys.values.slice(a, 4096)
-                n, at = len(held), held.field("at").to_numpy(zero_copy_only=False)[:, None]
-                near = np.concatenate([x[at + np.arange(AROUND - 1, -1, -1)], x[at + np.arange(AROUND + 2, 2 * AROUND + 2)]], 1).view("<i8")
-                own = [pa.array(np.full(n, v, np.int64)) for v in (node.as_py(), component.as_py(), len(x) - 2 * AROUND)]
-                yield pa.RecordBatch.from_arrays([*own, held.field("key"), held.field("at"), held.field("shards"), *(pa.array(near[:, i]) for i in range(len(names)))], names=["node", "component", "size", "key", "at", "shards", *names])
+        rows = pa.Table.from_batches([batch])
+        rows = rows if waiting is None else pa.concat_tables([waiting, rows])
+        key, cell = rows["key"].to_numpy(), rows["cell"].to_numpy()
+        ends = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
+        cut = int(ends[-1]) if len(ends) else 0
+        waiting = rows.slice(cut)
+        if cut:
+            yield from _couples(rows.slice(0, cut))
+    if waiting is not None and len(waiting):
+        yield from _couples(waiting)
 
 
 def across(shared: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
-    """(u, v, offset) for every key that recordings of different components share, where the offset leaves a common
-    stretch that may be aligned: one long enough, with no more bits differing in the AROUND integers on either side of
-    the key than the whole stretch may have. ``shared(key, node, at)``, ``parts(node, component)``.
+    """(u, v, offset, n) for the recordings of different components that share a key, at an offset of which they are
+    aligned; n keys agree there. ``shared(key, node, at, before)``, ``parts(node, component)``.
 
-    A key's holders are dealt over tasks by HOLDERS of them.
+    A key whose holders all have the same key right before it is left out: whatever meets under it meets there, at the
+    same offset. The holders of a key meet in cells of two blocks of about HOLDERS, each a task's work; they bring their
+    integers, so that couples are decided there, over their whole stretch, and none but those aligned are written.
     """
     component = F.coalesce("component", "node").alias("component")
-    own = shared.join(parts, "node", "left").select("key", "node", "at", component)
-    mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / HOLDERS).cast("int").alias("shards")).filter("low < high").select("key", "shards")
-    held = own.join(mixed, "key").groupBy("node", "component").agg(F.collect_list(F.struct("key", "at", "shards")).alias("keys"))
-    held = held.join(nodes.select("node", "ints"), "node")
-    wide = [f"{side}{i}" for side in "lr" for i in range(AROUND // 2)]
-    many = storage.staged(storage.in_arrow(held, _windows, f"node long, component long, size long, key long, at int, shards int, {', '.join(f'{x} long' for x in wide)}"), "alignment-keys")
-    every = F.struct("node", "at", "component", "size", *wide)
-    a = many.select("key", F.explode(F.expr("sequence(0, shards - 1)")).alias("shard"), every.alias("a"))
-    b = many.select("key", F.pmod(F.xxhash64("node"), "shards").cast("int").alias("shard"), every.alias("b"))
-    offset = F.col("b.at") - F.col("a.at")
-    left, right = F.least("a.at", "b.at"), F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at")) - 2
-    stretch = left + right + 2
-    differing = F.lit(0)
-    for side, reach in (("l", left), ("r", right)):
-        for i in range(AROUND // 2):
-            bits = F.col(f"a.{side}{i}").bitwiseXOR(F.col(f"b.{side}{i}"))
-            first = bits.bitwiseAND(F.lit(0xFFFFFFFF))
-            differing += F.when(reach >= 2 * i + 2, F.bit_count(bits)).when(reach == 2 * i + 1, F.bit_count(first)).otherwise(0)
-    enough = (stretch >= F.greatest(F.lit(LEAST_COMMON), F.least("a.size", "b.size") * F.lit(COVER))) & (differing <= stretch * F.lit(32 * BIT_ERRORS))
-    met = a.join(b, ["key", "shard"]).filter((F.col("a.node") > F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & enough)
-    return met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), offset.alias("offset"))
+    own = shared.join(parts, "node", "left").select("key", "node", "at", "before", component)
+    found = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("before").alias("least"), F.max("before").alias("most"), F.ceil(F.count("*") / HOLDERS).cast("int").alias("blocks"))
+    mixed = found.filter("low < high AND (least < 0 OR least < most)").select("key", "blocks")
+    held = own.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = held.select("key", "node", "at", "component", "block", "blocks", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    cell = F.least("block", "other") * F.col("blocks").cast("long") + F.greatest("block", "other")
+    rows = dealt.join(nodes.select("node", "ints"), "node").select("key", cell.alias("cell"), (F.col("block") == F.col("other")).alias("within"), "block", "node", "component", "at", "ints")
+    return storage.in_arrow(rows.repartition("key", "cell").sortWithinPartitions("key", "cell"), _meeting, "u long, v long, offset int, n long")
 
 
 def align(recordings: DataFrame) -> DataFrame:
@@ -257,12 +289,13 @@ def align(recordings: DataFrame) -> DataFrame:
         alone = nodes.join(twice, "node", "left_anti").select(*nodes.columns)
         shared = nodes.join(twice, "node", "left_semi").select(*[surrogate.alias("node") if c == "node" else F.col(c) for c in nodes.columns])
         nodes = storage.staged(alone.unionByName(shared), "recordings")
-    keys = storage.in_arrow(nodes.select("node", "ints"), _keys, "key long, node long, at int")
+    keys = storage.in_arrow(nodes.select("node", "ints"), _keys, "key long, node long, at int, before long")
     first = keys.groupBy("key").agg(F.min(F.struct("node", "at")).alias("first"), F.max("node").alias("last")).filter("first.node < last").select("key", F.col("first.node").alias("v"), F.col("first.at").alias("at_v"))
     shared = storage.staged(keys.join(first, "key"), "shared-keys")
-    links = compared(shared.filter("node <> v").select(F.col("node").alias("u"), "v", (F.col("at_v") - F.col("at")).alias("offset")), nodes)
+    met = shared.filter("node <> v").groupBy(F.col("node").alias("u"), "v", (F.col("at_v") - F.col("at")).alias("offset")).agg(F.count("*").alias("n"))
+    links = compared(met, nodes)
     parts = connected_components(links.select("u", "v"))
-    more = compared(across(shared.select("key", "node", "at"), nodes, parts), nodes)
+    more = compared(across(shared.select("key", "node", "at", "before"), nodes, parts), nodes)
     if not more.isEmpty():
         links = links.unionByName(more)
         parts = connected_components(links.select("u", "v"))
