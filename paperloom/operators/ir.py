@@ -110,11 +110,14 @@ def on_cycles(units: DataFrame) -> DataFrame:
     """(document_id, unit_id) of units that are their own ancestors, through others.
 
     Documents whose units have one parent each are followed by doubling pointers; only those in which a repeated id has
-    several parents need strongly connected components.
+    several parents need strongly connected components. Units that are nobody's parent, mostly the greater part, lie on
+    no cycle and go first.
     """
     node = lambda c: F.struct("document_id", F.col(c).alias("unit_id"))
     edges = units.filter("document_id IS NOT NULL AND unit_id IS NOT NULL AND parent_id <> unit_id").select("document_id", "unit_id", "parent_id")
-    pointers = kept(edges.groupBy("document_id", "unit_id").agg(F.min("parent_id").alias("parent_id"), F.max("parent_id").alias("last")), "parents")
+    entered = edges.select("document_id", F.col("parent_id").alias("unit_id")).distinct()
+    single = edges.groupBy("document_id", "unit_id").agg(F.min("parent_id").alias("parent_id"), F.max("parent_id").alias("last"))
+    pointers = kept(single.hint("merge").join(entered.hint("merge"), ["document_id", "unit_id"], "left_semi"), "parents")
     several = kept(pointers.filter("parent_id <> last").select("document_id").distinct(), "several-parents")
     ends = lambda rows: rows.select(node("unit_id").alias("node"), node("parent_id").alias("parent"))
     if several.isEmpty():

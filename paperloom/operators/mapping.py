@@ -126,12 +126,15 @@ def prioritized_origins(native: DataFrame, parts: DataFrame, references: DataFra
     return rows.select("document_id", "native_id", F.coalesce("by_path", "by_reference", only, "first_part").alias("part_id"), F.when(exact, "exact").otherwise("inferred").alias("exactness"), F.when(exact, 1.0).otherwise(0.5).alias("confidence"), method.alias("method"))
 
 
-def edge_failures(edges: DataFrame, entities: DataFrame) -> DataFrame:
+def edge_failures(edges: DataFrame, entities: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """(document_id, mapping_id, rule) of edges that break a rule, and of entities that lack an edge they need.
 
-    ``edges`` are EDGE and ``mapping_id``, ``producer``; ``entities(document_id, layer, entity_id)``.
+    ``edges`` are EDGE and ``mapping_id``, ``producer``; ``entities(document_id, layer, entity_id)``. ``repeated`` has the
+    (document_id, mapping_id) that several edges share, where that is known.
     """
     col = F.col
+    if repeated is None:
+        repeated = edges.groupBy("document_id", "mapping_id").agg(F.count("*").alias("n")).filter("n > 1")
     layer = lambda c: F.array_position(F.array(*[F.lit(x) for x in LAYERS]), col(c))
     first, second = (F.element_at(F.create_map(*[x for k, v in RELATIONS.items() for x in (F.lit(k), F.lit(v[i]))]), col("relation")) for i in (0, 1))
     empty = lambda c: col(c).isNull() | (col(c) == "")
@@ -144,7 +147,7 @@ def edge_failures(edges: DataFrame, entities: DataFrame) -> DataFrame:
     # a plain array: filtered as a list, its rules and the ids' hashes are interpreted, and evaluated for an inferred filter too
     broken = F.array(*[F.when(F.coalesce(c, F.lit(False)), n) for n, c in rules.items()])
     found = [edges.select("document_id", "mapping_id", F.explode(broken).alias("rule")).filter("rule IS NOT NULL")]
-    found.append(edges.groupBy("document_id", "mapping_id").agg(F.count("*").alias("n")).filter("n > 1").select("document_id", "mapping_id", F.lit("repeated_id").alias("rule")))
+    found.append(repeated.select("document_id", "mapping_id", F.lit("repeated_id").alias("rule")))
     # both ends of an edge are looked up by one join
     end = lambda side: F.struct(col(f"{side}_layer").alias("layer"), col(f"{side}_id").alias("entity_id"), F.lit(f"unknown_{side}").alias("rule"))
     ends = edges.select("document_id", "mapping_id", F.explode(F.array(end("source"), end("target"))).alias("end")).select("document_id", "mapping_id", "end.*")

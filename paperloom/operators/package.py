@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import canonical_json, stable_id
 from ..functions.ranks import STATUS, gravest, rank, state_of
 from ..functions.scalar import is_portable_path
+from ..storage import repeated
 from .graph import on_cycles_within
 
 CHECK = ["run_id", "document_id", "rule", "kind", "code", "level", "blocking", "subject"]
@@ -210,7 +211,7 @@ def formula_failures(formulas: DataFrame) -> DataFrame:
 
 def mapping_failures(edges: DataFrame) -> DataFrame:
     """``edges(run_id, document_id, mapping_id)``: unique ids."""
-    return _found(edges.groupBy("run_id", "document_id", "mapping_id").agg(F.count("*").alias("n")).filter("n > 1"), "mapping_repeated", F.col("mapping_id"))
+    return _found(repeated(edges, ["run_id", "document_id", "mapping_id"]), "mapping_repeated", F.col("mapping_id"))
 
 
 def slot_failures(slots: DataFrame) -> DataFrame:

@@ -247,7 +247,7 @@ def edges(t: Tables, policy: Policy) -> DataFrame:
 
 
 def edge_failures(t: Tables, policy: Policy) -> DataFrame:
-    return mapping.edge_failures(t["edges"], t["entities"])
+    return mapping.edge_failures(t["edges"], t["entities"], storage.repeated(t["edges"], ["document_id", "mapping_id"]))
 
 
 #: Feature of a native unit by its kind; all others are core units.
@@ -260,9 +260,13 @@ def coverage(t: Tables, policy: Policy) -> DataFrame:
     best = t["edges"].groupBy(d, "source_layer", col("source_id").alias("entity_id"), "target_layer").agg(F.max(rank(col("exactness"), EXACTNESS)).alias("r"))
     best = best.select(d, "source_layer", "entity_id", "target_layer", state_of(col("r"), EXACTNESS).alias("exactness"))
     to = lambda source, target, name: best.filter((col("source_layer") == source) & (col("target_layer") == target)).select(d, "entity_id", col("exactness").alias(name))
-    both = to("native", "technical_ir", "projected").join(to("native", "rendered", "rendered"), [d, "entity_id"], "full_outer")
+    # one grouping by unit gives both of its targets, dealt as the units are that it is joined to
+    reaches = lambda layer: F.max(F.when(col("target_layer") == layer, rank(col("exactness"), EXACTNESS)))
+    both = t["edges"].filter("source_layer = 'native' AND target_layer IN ('technical_ir', 'rendered')").groupBy(d, col("source_id").alias("entity_id")).agg(reaches("technical_ir").alias("p"), reaches("rendered").alias("r"))
+    both = both.select(d, "entity_id", state_of(col("p"), EXACTNESS).alias("projected"), state_of(col("r"), EXACTNESS).alias("rendered"))
     names = F.create_map(*[F.lit(x) for pair in UNIT_FEATURES.items() for x in pair])
-    natives = _natives(t).withColumnRenamed("native_id", "entity_id").join(both, [d, "entity_id"], "left").join(t["resources"].select(d, col("resource_id").alias("entity_id"), "active"), [d, "entity_id"], "left")
+    own = _natives(t).withColumnRenamed("native_id", "entity_id").join(t["resources"].select(d, col("resource_id").alias("entity_id"), "active"), [d, "entity_id"], "left")
+    natives = own.join(both, [d, "entity_id"], "left")
     feature = F.coalesce(F.element_at(names, col("kind")), F.lit("native_core_unit"))
     kept = F.when(feature == "interactive_content", F.lit("exact")).otherwise(col("projected"))  # scored on what is preserved
     unread = col("read_state").isin("failed", "blocked", "not_read")
@@ -280,7 +284,7 @@ def coverage(t: Tables, policy: Policy) -> DataFrame:
         facts(t["artifacts"], "binary_artifact", preserved=col("sha256").isNotNull(), projected=state(col("sha256").isNotNull())),
         facts(container, "container_part", False, col("sha256").isNotNull(), unsupported=unread, projected=col("projected"), severity=F.when(unread, "warning")), facts(t["part_relationships"], "container_relationship", False),
         facts(natives, feature, opaque=F.coalesce(col("active"), F.lit(False)) | (feature == "native_resource"), projected=kept, rendered=col("rendered")),
-        facts(natives.filter("active"), "interactive_content", opaque=True, projected=F.lit("exact")), facts(natives.filter("kind = 'native_resource'"), "opaque_content", False, opaque=True), facts(container.filter(unread), "opaque_content", False, False, True),
+        facts(own.filter("active"), "interactive_content", opaque=True, projected=F.lit("exact")), facts(own.filter("kind = 'native_resource'"), "opaque_content", False, opaque=True), facts(container.filter(unread), "opaque_content", False, False, True),
         facts(drawn, "rendered_surface", assessed, projected=state(assessed), rendered=col("fidelity")), facts(seen, "rendered_native_visibility", projected=F.when(col("visible"), F.when(col("clipped"), "approximate").otherwise("exact")), rendered=F.when(col("clipped"), "approximate").otherwise("exact")),
         facts(seen.filter("visible").join(boxed, [d, "entity_id"], "left"), "visible_geometry_coverage", projected=state(col("boxed"))), facts(boxes.drop("entity_id").withColumnRenamed("geometry_id", "entity_id").join(localized, [d, "entity_id"], "left"), "rendered_geometry", projected=state(col("reached"))),
         facts(t["assets"].select(d, col("asset_id").alias("entity_id")).distinct().join(localized, [d, "entity_id"], "left"), "derived_asset", projected=state(col("reached"))),

@@ -25,12 +25,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame, name: str = "stage") -> DataFrame:
-    """``df`` written to the shared folder and read back: later plans start there."""
+    """``df`` written to the shared folder and read back: later plans start there. Tables are mostly ids, which zstd makes
+    smaller and snappy doesn't."""
     path = fresh(name, df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n) of the keys that several of these rows share.
+
+    Hashes are counted first, and keys are shuffled only if a hash comes twice: elsewhere eight bytes a row move, not
+    its keys. ``rows`` are read twice.
+    """
+    own = F.xxhash64(*keys).alias("__hash")
+    twice = kept(rows.groupBy(own).agg(F.count("*").alias("n")).filter("n > 1").select("__hash"), "repeated-hashes")
+    found = rows.select(*keys, own)
+    found = found.limit(0) if twice.isEmpty() else found.join(twice, "__hash", "left_semi")
+    return found.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+
+
 def fresh(name: str, spark: SparkSession) -> str:
     """A path in the shared folder that no other call gets."""
     return f"{shared_dir(spark)}/paperloom/{name}-{uuid.uuid4().hex}"

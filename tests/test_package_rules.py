@@ -2,7 +2,8 @@
 
 from collections import Counter
 
-from paperloom.operators import package
+from paperloom import storage
+from paperloom.operators import ir, package
 
 
 def rules(df):
@@ -52,3 +53,19 @@ def test_rules_of_edges_are_evaluated_once(spark):
     want = ["empty_source", "exact_confidence", "no_producer", "own_id", "unknown_relation", "unknown_source", "unmapped_native"]
     assert sorted(r.rule for r in found.collect()) == want
     assert found._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
+
+
+def test_units_without_children_are_not_kept_in_the_search_for_cycles(spark, monkeypatch):
+    rows = [("d", "root", None), ("d", "a", "b"), ("d", "b", "a"), ("e", "a", "a")] + [("d", f"leaf{i}", "root") for i in range(50)]
+    tables, kept = {}, ir.kept
+    monkeypatch.setattr(ir, "kept", lambda df, name: tables.setdefault(name, kept(df, name)))
+    found = ir.on_cycles(spark.createDataFrame(rows, "document_id string, unit_id string, parent_id string"))
+    assert {tuple(r) for r in found.collect()} == {("d", "a"), ("d", "b")}
+    assert tables["parents"].count() == 2  # all 52 units that have a parent, before
+
+
+def test_repeated_keys(spark):
+    rows = spark.createDataFrame([("d", "m"), ("d", "m"), ("d", "n"), ("e", "m"), ("e", None), ("e", None), (None, "e"), ("d", "m")], "document_id string, mapping_id string")
+    keys = ["document_id", "mapping_id"]
+    assert {tuple(r) for r in storage.repeated(rows, keys).collect()} == {("d", "m", 3), ("e", None, 2)}
+    assert storage.repeated(rows.distinct(), keys).count() == storage.repeated(rows.limit(0), keys).count() == 0
