@@ -105,7 +105,19 @@ def pdf(pages: int, width: int, height: int, turn: int, title: str) -> bytes:
     return (body + "trailer\nstartxref\n0\n%%EOF\n").encode("latin-1", "replace")
 
 
+#: The longest side of an image by format: two bytes in GIF, four (held to be signed) in the others.
+WIDEST = {"gif": (1 << 16) - 1, "png": (1 << 31) - 1, "bmp": (1 << 31) - 1, "tiff": (1 << 31) - 1}
+
+
+def folded(kind: str, width: int, height: int) -> tuple[int, int]:
+    """A size that the format can hold: by how often a width is too long, the height grows, so that widths stay apart."""
+    most = WIDEST[kind]
+    more, width = divmod(width - 1, most)
+    return width + 1, (height - 1 + more) % most + 1
+
+
 def raster(kind: str, width: int, height: int, frames: int) -> bytes:
+    width, height = folded(kind, width, height)
     if kind == "png":
         chunk = lambda name, data: struct.pack(">I", len(data)) + name + data + struct.pack(">I", zlib.crc32(name + data))
         return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)) + chunk(b"IEND", b"")
@@ -114,9 +126,11 @@ def raster(kind: str, width: int, height: int, frames: int) -> bytes:
     if kind == "bmp":
         return b"BM" + struct.pack("<IIIIii", 26, 0, 26, 40, width, height) + bytes(8)
     out = b"II*\0" + struct.pack("<I", 8)
+    # a side is a field of two bytes, of four where it is longer
+    field = lambda tag, side: struct.pack("<HHIHH", tag, 3, 1, side, 0) if side < 1 << 16 else struct.pack("<HHII", tag, 4, 1, side)
     for i in range(frames):
         after = 8 + (i + 1) * 30
-        out += struct.pack("<H", 2) + struct.pack("<HHIHH", 256, 3, 1, width, 0) + struct.pack("<HHIHH", 257, 3, 1, height, 0) + struct.pack("<I", after if i + 1 < frames else 0)
+        out += struct.pack("<H", 2) + field(256, width) + field(257, height) + struct.pack("<I", after if i + 1 < frames else 0)
     return out
 
 
